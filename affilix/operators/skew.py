@@ -5,10 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from affilix.session import materialize
+
 TASK_PAIRS = 4_000_000
 MAX_HOT = 10_000
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's estimate of a table's size, the one it compares with the broadcast threshold."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def will_broadcast(df: DataFrame) -> bool:
+    """Whether Spark will send this side to every executor, so that nothing is shuffled by key."""
+    threshold = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    limit = df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(threshold)
+    return estimated_bytes(df) <= limit
+
+
 def hot_keys(left: DataFrame, right: DataFrame, on: list[str], task_pairs: int = TASK_PAIRS) -> DataFrame:
     """Keys whose join would be too much for one task: ``on``, ``_l`` and ``_r`` (rows on either side), ``_cells``.
 
@@ -47,12 +61,20 @@ def grid_join(
 ) -> DataFrame:
     """Join on equal ``on`` columns (``inner`` or ``left``), every row of a hot key going to one strip of a grid.
 
-    The left rows of a hot key are dealt into strips, the right rows likewise; each pair of strips meets in one task, so
-    a key with any share of the rows is worked on by as many tasks as its load asks for. For a left join the left rows
-    are dealt out but not repeated. Rows are dealt by a hash of ``spread_*``, which a retried task computes alike.
+    Where one side is small enough for Spark to broadcast, or no key is hot, this is the plain join. Otherwise the left
+    rows of a hot key are dealt into strips, the right rows likewise; each pair of strips meets in one task, so a key
+    with any share of the rows is worked on by as many tasks as its load asks for. For a left join the left rows are
+    dealt out but not repeated. Rows are dealt by a hash of ``spread_*``, which a retried task computes alike.
+
+    The keys of both sides are counted first, so inputs that are costly to compute should be materialized.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"unsupported join: {how}")
+    if will_broadcast(right) or (how == "inner" and will_broadcast(left)):
+        return left.join(right, on, how)
+    found = materialize(hot_keys(left, right, on, task_pairs), "hot_keys")
+    if found.isEmpty():
+        return left.join(right, on, how)
     cells, n_left, n_right = F.col("_cells"), F.col("_l"), F.greatest(F.col("_r"), F.lit(1))
     if how == "left":
         strips_left, strips_right = cells, F.lit(1).cast("bigint")
@@ -60,7 +82,7 @@ def grid_join(
         strips_left = F.least(F.ceil(F.sqrt(cells * F.greatest(n_left, F.lit(1)) / n_right)), cells)
         strips_right = F.ceil(cells / F.greatest(strips_left, F.lit(1)))
     hot = F.broadcast(
-        hot_keys(left, right, on, task_pairs).select(
+        found.select(
             *on,
             F.greatest(strips_left, F.lit(1)).alias("_sl"),
             F.greatest(strips_right, F.lit(1)).alias("_sr"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from affilix import schemas
 from affilix.functions.literals import decode_list
@@ -47,10 +48,15 @@ def read_addresses(spark: SparkSession, path: str) -> DataFrame:
     return read_csv(spark, path, schemas.ADDRESSES)
 
 
-def read_registry(spark: SparkSession, path: str) -> DataFrame:
-    """The registry: one JSON object with a list ``institutes``. One such file is one task; convert it once."""
-    whole = spark.read.schema(f"institutes ARRAY<STRUCT<{_as_struct(schemas.INSTITUTES)}>>")
-    return whole.option("multiLine", True).json(path).select(F.explode("institutes").alias("i")).select("i.*")
+def read_registry(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """The registry: a JSON object with a list ``institutes``, as one file or (``multi_line`` off) one object per line.
+
+    A file of the first kind is read by one task; convert it once.
+    """
+    institute = spark.createDataFrame([], schemas.INSTITUTES).schema
+    whole = T.StructType([T.StructField("institutes", T.ArrayType(institute))])
+    rows = spark.read.schema(whole).option("multiLine", multi_line).json(path)
+    return rows.select(F.explode("institutes").alias("i")).select("i.*")
 
 
 def convert_registry(spark: SparkSession, json_path: str, parquet_path: str, files: int = 64) -> DataFrame:
@@ -65,14 +71,3 @@ def read_optional(spark: SparkSession, path: str, reader) -> DataFrame | None:
     files = location.getFileSystem(spark._jsc.hadoopConfiguration())
     return reader(spark, path) if files.exists(location) else None
 
-
-def _as_struct(schema: str) -> str:
-    """``a STRING, b INT`` as the inside of a STRUCT type: ``a: STRING, b: INT``."""
-    parts, depth, start = [], 0, 0
-    for i, ch in enumerate(schema + ","):
-        depth += (ch == "<") - (ch == ">")
-        if ch == "," and depth == 0:
-            name, kind = schema[start:i].strip().split(" ", 1)
-            parts.append(f"{name}: {kind}")
-            start = i + 1
-    return ", ".join(parts)
