@@ -18,7 +18,7 @@ from affilix.session import materialize
 
 def describe_strings(strings: DataFrame, gazetteer: DataFrame, scorer: Scorer, min_prob: float = MIN_PROB) -> DataFrame:
     """``affiliate, extracted, country, city``: the institute part and the place of each string."""
-    parts = materialize(segments(strings), "segments")
+    parts = segments(strings)
     scored = materialize(scorer(distinct_segments(parts)), "scores")
     return describe(strings, best_segments(parts, scored, min_prob), parse_places(strings, gazetteer))
 
@@ -34,7 +34,7 @@ def choose_entries(
         "asked",
     )
     query = F.struct("institute", "country", "city").alias("query_id")
-    hits = materialize(search_join(asked, index, top_k, cascade).select(query, "inst_id", "score"), "hits")
+    hits = search_join(asked, index, top_k, cascade).select(query, "inst_id", "score")
     return best_entry(class_votes(asked.select("class_id", query), hits, found.pairs))
 
 
