@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +13,12 @@ TASK_PAIRS = 4_000_000
 MAX_HOT = 10_000
 
 
+def _bytes(setting: str) -> int:
+    """A size setting such as ``10485760b`` or ``64MB`` as a number of bytes."""
+    number, unit = re.fullmatch(r"(-?\d+)\s*([kmgtp]?)b?", setting.strip().lower()).groups()
+    return int(number) * 1024 ** " kmgtp".index(unit or " ")
+
+
 def estimated_bytes(df: DataFrame) -> int:
     """The optimizer's estimate of a table's size, the one it compares with the broadcast threshold."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
@@ -18,9 +26,7 @@ def estimated_bytes(df: DataFrame) -> int:
 
 def will_broadcast(df: DataFrame) -> bool:
     """Whether Spark will send this side to every executor, so that nothing is shuffled by key."""
-    threshold = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    limit = df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(threshold)
-    return estimated_bytes(df) <= limit
+    return estimated_bytes(df) <= _bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold"))
 
 
 def hot_keys(left: DataFrame, right: DataFrame, on: list[str], task_pairs: int = TASK_PAIRS) -> DataFrame:
