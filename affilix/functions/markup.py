@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from html.entities import name2codepoint
 
 from pyspark.sql import Column
@@ -20,7 +21,7 @@ def _code_point(number: Column) -> Column:
 
 def _reference(name: Column) -> Column:
     """Text that ``&name;`` stands for, or NULL when it stands for nothing known."""
-    table = F.create_map(*[F.lit(x) for pair in _NAMED.items() for x in pair])
+    table = F.from_json(F.lit(json.dumps(_NAMED)), "map<string,string>")
     hexadecimal = F.conv(F.regexp_extract(name, "^#[xX]([0-9a-fA-F]{1,8})$", 1), 16, 10).try_cast("bigint")
     decimal = F.regexp_extract(name, "^#([0-9]{1,10})$", 1).try_cast("bigint")
     return F.coalesce(F.try_element_at(table, name), _code_point(F.coalesce(decimal, hexadecimal)))

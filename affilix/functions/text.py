@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Character classes equal to Python's \W, str.isspace and \d.
+# Character classes equal to Python's \W and \d, and all characters that str.isspace accepts.
 NON_WORD = r"[^\p{L}\p{N}_]+"
-SPACE = r"[\t-\r\x1c-\x20\x{85}\p{Z}]"
 DIGITS = r"\p{Nd}+"
+SPACES = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def clean(text: Column) -> Column:
@@ -18,7 +21,7 @@ def clean(text: Column) -> Column:
 
 def normalize(text: Column) -> Column:
     """Drop line feeds (nothing is put in their place), then trim every kind of white space."""
-    return F.regexp_replace(F.replace(text, F.lit("\n"), F.lit("")), rf"^{SPACE}+|{SPACE}+\z", "")
+    return F.btrim(F.replace(text, F.lit("\n"), F.lit("")), F.lit(SPACES))
 
 
 def split_commas(text: Column) -> Column:
@@ -41,7 +44,7 @@ def join_commas(*parts: Column) -> Column:
 
 def words(text: Column) -> Column:
     """Tokens of the cleaned text, in order, repeats kept."""
-    return F.filter(F.split(clean(text), " "), lambda w: w != "")
+    return F.array_remove(F.split(clean(text), " "), "")
 
 
 def match_terms(text: Column) -> Column:

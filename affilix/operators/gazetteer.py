@@ -21,7 +21,8 @@ def build_gazetteer(institutes: DataFrame, aliases: dict[str, str] | None = None
     cities = places.select(F.col("a.city").alias("name"), F.lit("city").alias("kind"))
     countries = places.select(F.col("a.country").alias("name"), F.lit("country").alias("kind"))
     known = sorted(set(table) | set(table.values()))
-    names = institutes.sparkSession.createDataFrame([(n, "country") for n in known], "name STRING, kind STRING")
+    listed = F.array(*[F.lit(n) for n in known]).cast("array<string>")
+    names = institutes.sparkSession.range(1).select(F.explode(listed).alias("name"), F.lit("country").alias("kind"))
     return (
         cities.unionByName(countries).unionByName(names)
         .select(clean(F.col("name")).alias("name"), "kind")

@@ -22,7 +22,10 @@ class Diff(NamedTuple):
 
 def optional(spark, df: DataFrame | None, schema: str) -> DataFrame:
     """``df``, or an empty table of that schema when there is none."""
-    return spark.createDataFrame([], schema) if df is None else df
+    if df is not None:
+        return df
+    fields = spark.createDataFrame([], schema).schema
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
 
 
 def _covered(prior: DataFrame, new: DataFrame) -> Column:

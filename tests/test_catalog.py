@@ -3,6 +3,7 @@
 import os
 
 import pytest
+from pyspark.sql.readwriter import DataFrameWriter
 
 import __spark_entry__ as driver
 
@@ -20,9 +21,29 @@ def duck():
     return connection
 
 
+def check_plan(df):
+    """No join without keys, no row-at-a-time Python."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"):
+        assert operator not in plan, plan
+
+
+@pytest.fixture
+def written_plans(monkeypatch):
+    """Check the plan of every intermediate table as it is written."""
+    write = DataFrameWriter.parquet
+
+    def checked(self, *args, **kwargs):
+        check_plan(self._df)
+        return write(self, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", checked)
+
+
 @pytest.mark.parametrize("name", sorted(driver.queries()))
-def test_query(spark, duck, name):
+def test_query(spark, duck, written_plans, name):
     df = driver.queries()[name](spark, SF)
+    check_plan(df)
     columns = sorted(df.columns)
     rows = sorted((tuple(r) for r in df.select(*columns).collect()), key=str)
     assert rows

@@ -53,6 +53,11 @@ def test_cleaning_equals_python(spark, texts):
     assert apply(spark, normalize, texts) == [t.replace("\n", "").strip() for t in texts]
 
 
+def test_all_white_space_is_trimmed(spark):
+    spaces = [chr(i) for i in range(0x10000) if chr(i).isspace() and chr(i) != "\n"]
+    assert apply(spark, normalize, [f"{c}x{c}y{c}" for c in spaces]) == [f"x{c}y" for c in spaces]
+
+
 def test_join_commas_keeps_places(spark):
     row = spark.sql("SELECT 'U' a, CAST(NULL AS STRING) b, 'K' c").select(join_commas(F.col("a"), F.col("b"), F.col("c")))
     assert row.first()[0] == "U,,K"
