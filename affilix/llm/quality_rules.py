@@ -1,7 +1,7 @@
 """Quality rules that vote: weak supervision in place of a filter that every rule must pass.
 
-Each rule votes for a text, against it, or abstains. Expectation-maximisation estimates from the agreement of the votes
-alone how far each can be trusted; the posterior probability of good quality decides. DataFrame functions only: the corpus
+Each rule votes for a text, against it, or abstains. Expectation-maximisation estimates from the votes alone how far each
+can be trusted; the posterior probability of good quality decides. DataFrame functions only: the corpus
 is reduced to one count per vote pattern, of which ``3 ** rules`` exist, and the estimation works on those.
 """
 
@@ -18,7 +18,6 @@ from affilix.session import materialize
 
 WINDOW = 5
 SYMBOLS = "#*$%&|<>"
-CLASSES = ("bad", "good")
 VOTES = (-1, 0, 1)
 
 
@@ -80,6 +79,11 @@ def _vote(good: Column, bad: Column) -> Column:
     return F.when(bad, -1).when(good, 1).otherwise(0)
 
 
+def _against(bad: Column) -> Column:
+    """A rule that knows one fault only: that a text lacks it is no vote for the text."""
+    return F.when(bad, -1).otherwise(0)
+
+
 def _rules() -> dict[str, Column]:
     n = F.greatest(F.col("n_words"), F.lit(1))
     chars = F.greatest(F.col("word_chars"), F.lit(1))
@@ -87,12 +91,12 @@ def _rules() -> dict[str, Column]:
     few = F.col("n_words") < 20
     return {
         "length": _vote(F.col("n_words") >= 50, F.col("n_words") < 10),
-        "word_length": _vote(length.between(3.0, 8.5), (length < 2.0) | (length > 14.0)),
-        "symbols": _vote(F.col("n_symbols") * 100 <= n, F.col("n_symbols") * 10 >= n),
-        "lines": _vote((F.col("n_dup_lines") == 0) & (F.col("n_breaks") > 0), F.col("n_dup_lines") * 4 > F.col("n_breaks") + 1),
-        "repeats": _vote(F.col("n_repeat_words") * 50 <= n, F.col("n_repeat_words") * 5 > n),
-        "capitals": F.when(few, 0).otherwise(_vote(F.col("n_upper") * 10 <= chars, F.col("n_upper") * 10 >= chars * 3)),
-        "marks": _vote(F.col("n_marks") * 20 <= n, F.col("n_marks") * 5 >= n),
+        "word_length": _vote(length.between(2.5, 11.0), (length < 2.0) | (length > 14.0)),
+        "symbols": _against(F.col("n_symbols") * 5 >= n),
+        "lines": _against(F.col("n_dup_lines") * 2 > F.col("n_breaks") + 1),
+        "repeats": _against(F.col("n_repeat_words") * 5 > n),
+        "capitals": _against(~few & (F.col("n_upper") * 10 >= chars * 3)),
+        "marks": _against(~few & (F.col("n_marks") * 5 >= n)),
     }
 
 
@@ -105,58 +109,76 @@ def votes(statistics: DataFrame) -> DataFrame:
 
 
 class VoteModel(NamedTuple):
-    """Share of good texts, and for each rule the probability of every vote in both classes."""
+    """Latent classes: good texts first, then texts with the fault of each rule. ``share`` is the size of each class,
+    ``chance[rule][vote]`` the probability of that vote in each class."""
+
+    share: list[float]
+    chance: dict[str, dict[int, list[float]]]
+
+    def accuracy(self, rule: str) -> float:
+        """How often a vote against is cast on a text that is not good."""
+        cast = [s * c for s, c in zip(self.share, self.chance[rule][-1])]
+        return sum(cast[1:]) / sum(cast)
+
 
-    good: float
-    by_rule: dict[str, dict[int, tuple[float, float]]]
+def _classes(model: VoteModel, pattern: tuple[int, ...], names: list[str]) -> list[float]:
+    logs = [
+        math.log(s) + sum(math.log(model.chance[name][v][k]) for v, name in zip(pattern, names))
+        for k, s in enumerate(model.share)
+    ]
+    top = max(logs)
+    odds = [math.exp(x - top) for x in logs]
+    return [x / sum(odds) for x in odds]
 
 
 def fit_votes(patterns: list[tuple[tuple[int, ...], int]], names: list[str], rounds: int = 50) -> VoteModel:
-    """Estimate the model from (votes, count) pairs by expectation-maximisation, starting from the majority of the votes.
+    """Estimate the model from (votes, count) pairs by expectation-maximisation.
 
-    Counts are smoothed by one text for each vote, so rules that always abstain carry no weight. A rule is never read
-    against its direction: a vote for a text cannot count against it.
+    Texts are bad in one way each, so rules against them seldom agree, and two classes would leave all but the commonest
+    fault among the good. Hence one class for each fault. It starts with the texts its rule votes against, shared evenly
+    among such rules and with a tenth for the good; later rounds decide which votes to believe. Counts are smoothed by
+    one text for each vote.
     """
     total = sum(count for _, count in patterns)
-    weight = [1 / (1 + math.exp(-2.0 * sum(v))) for v, _ in patterns]
-    model = VoteModel(0.5, {})
+    weight = []
+    for votes_cast, _ in patterns:
+        against = [v < 0 for v in votes_cast]
+        bad = 0.9 if any(against) else 0.1
+        even = [a / sum(against) for a in against] if any(against) else [1 / len(names)] * len(names)
+        weight.append([1 - bad, *[bad * e for e in even]])
+    model = VoteModel([], {})
     for _ in range(rounds):
-        good = sum(w * c for w, (_, c) in zip(weight, patterns))
-        share = (good + 1) / (total + 2)
-        by_rule = {}
-        for k, name in enumerate(names):
-            seen = {v: [1.0, 1.0] for v in VOTES}
-            for w, (v, c) in zip(weight, patterns):
-                seen[v[k]][0] += (1 - w) * c
-                seen[v[k]][1] += w * c
-            sums = [sum(x[y] for x in seen.values()) for y in (0, 1)]
-            chance = {v: [x[0] / sums[0], x[1] / sums[1]] for v, x in seen.items()}
-            for v, wrong in ((1, 0), (-1, 1)):
-                if chance[v][wrong] > chance[v][1 - wrong]:
-                    chance[v] = [sum(chance[v]) / 2] * 2
-            by_rule[name] = {v: (x[0], x[1]) for v, x in chance.items()}
-        model = VoteModel(share, by_rule)
-        weight = [1 / (1 + math.exp(-max(-500.0, min(500.0, log_odds(model, v, names))))) for v, _ in patterns]
+        n_classes = len(names) + 1
+        share = [(sum(w[k] * c for w, (_, c) in zip(weight, patterns)) + 1) / (total + n_classes) for k in range(n_classes)]
+        chance = {}
+        for j, name in enumerate(names):
+            seen = {v: [1.0] * n_classes for v in VOTES}
+            for w, (cast, c) in zip(weight, patterns):
+                for k in range(n_classes):
+                    seen[cast[j]][k] += w[k] * c
+            sums = [sum(x[k] for x in seen.values()) for k in range(n_classes)]
+            chance[name] = {v: [a / b for a, b in zip(x, sums)] for v, x in seen.items()}
+        model = VoteModel(share, chance)
+        weight = [_classes(model, cast, names) for cast, _ in patterns]
     return model
 
 
-def log_odds(model: VoteModel, pattern: tuple[int, ...], names: list[str]) -> float:
-    odds = math.log(model.good / (1 - model.good))
-    for v, name in zip(pattern, names):
-        bad, good = model.by_rule[name][v]
-        odds += math.log(good / bad)
-    return odds
+def quality_of(model: VoteModel, pattern: tuple[int, ...], names: list[str]) -> float:
+    return _classes(model, pattern, names)[0]
 
 
 def posterior(model: VoteModel) -> Column:
-    """Probability of good quality given the vote columns."""
-    odds = F.lit(math.log(model.good / (1 - model.good)))
-    for name, chances in model.by_rule.items():
-        part = F.lit(0.0)
-        for v, (bad, good) in chances.items():
-            part = F.when(F.col(name) == v, F.lit(math.log(good / bad))).otherwise(part)
-        odds = odds + part
-    return 1 / (1 + F.exp(-odds))
+    """Probability of good quality given the vote columns: the share of the good class in the sum over all classes."""
+    def log_weight(k: int) -> Column:
+        total = F.lit(math.log(model.share[k]))
+        for name, by_vote in model.chance.items():
+            total = total + F.element_at(
+                F.create_map(*[x for v in VOTES for x in (F.lit(v), F.lit(math.log(by_vote[v][k])))]), F.col(name)
+            )
+        return total
+
+    good, *bad = [log_weight(k) for k in range(len(model.share))]
+    return 1 / (1 + sum((F.exp(b - good) for b in bad), F.lit(0.0)))
 
 
 def judge(docs: DataFrame, least: float = 0.5) -> DataFrame:

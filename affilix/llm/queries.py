@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from affilix.llm import chat_format, decontamination, quality_rules, secret_scan, simhash
-from affilix.llm.common import table
+from affilix.llm import (
+    chat_format, decontamination, language_id, quality_classifier, quality_rules, secret_scan, simhash, toxicity,
+)
+from affilix.llm.common import held_out, table
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +28,17 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.scan(table(spark, sf_dir, "documents")))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    kept_back = held_out(F.col("doc_id"), toxicity.PARTS, toxicity.HELD_OUT)
+    lexicon = toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels"), ~kept_back)
+    return toxicity.score_documents(docs, lexicon).select("doc_id", kept_back.alias("held_out"), "score", "predicted")
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.learn_and_identify(table(spark, sf_dir, "documents"))
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("spans")
 
@@ -35,5 +49,17 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op3_chat_format, op4_secret_scan, op8_decontaminate, op9_quality_rules)}
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    kept_back = held_out(F.col("doc_id"), quality_classifier.PARTS, quality_classifier.HELD_OUT)
+    model = quality_classifier.fit_quality(docs, table(spark, sf_dir, "labels"), ~kept_back)
+    return quality_classifier.score_documents(docs, model).select(
+        "doc_id", kept_back.alias("held_out"), "score", "predicted"
+    )
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_simhash, op3_chat_format, op4_secret_scan, op5_toxicity, op6_language_id, op8_decontaminate, op9_quality_rules,
+    op10_quality_classifier,
+)}
 ORACLES: dict[str, str] = {}
