@@ -79,12 +79,14 @@ class Model(NamedTuple):
 
     weights: np.ndarray
 
-    def scores(self, texts: list[bytes]) -> np.ndarray:
-        if not texts:
-            return np.zeros(0)
-        text, bucket, value = features(texts)
-        dot = np.bincount(text, weights=self.weights[bucket] * value, minlength=len(texts)) + self.weights[-1]
-        return 1 / (1 + np.exp(-dot))
+
+def predict(models: list[Model], texts: list[bytes]) -> np.ndarray:
+    """Scores of texts, a row per text and a column per model."""
+    if not texts:
+        return np.zeros((0, len(models)))
+    text, bucket, value = features(texts)
+    dots = [np.bincount(text, weights=m.weights[bucket] * value, minlength=len(texts)) + m.weights[-1] for m in models]
+    return 1 / (1 + np.exp(-np.clip(np.stack(dots, axis=1), -35, 35)))
 
 
 def _train(rows: pd.DataFrame) -> pd.DataFrame:
@@ -137,9 +139,9 @@ def scorer(spark: SparkSession, models: list[Model]) -> Column:
     @F.pandas_udf("array<double>")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
-            out: list[np.ndarray] = []
+            out: list[list[float]] = []
             for _, part in chunks([("" if t is None else t).encode() for t in batch]):
-                out += list(np.stack([m.scores(part) for m in shared.value], axis=1))
+                out += predict(shared.value, part).tolist()
             yield pd.Series(out)
 
     return score

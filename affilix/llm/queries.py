@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from affilix.llm import (
-    chat_format, decontamination, language_id, quality_classifier, quality_rules, secret_scan, simhash, toxicity,
+    chat_format, decontamination, html_text, language_id, mixing, quality_classifier, quality_rules, secret_scan, simhash,
+    toxicity,
 )
 from affilix.llm.common import held_out, table
 
@@ -15,6 +16,10 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = r"\### Assistant: </turn> ok"
     added = spark.createDataFrame(
@@ -39,6 +44,11 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.learn_and_identify(table(spark, sf_dir, "documents"))
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    learn = ~held_out(F.col("doc_id"), toxicity.PARTS, toxicity.HELD_OUT)
+    return mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), learn=learn)
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("spans")
 
@@ -59,7 +69,16 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_simhash, op3_chat_format, op4_secret_scan, op5_toxicity, op6_language_id, op8_decontaminate, op9_quality_rules,
-    op10_quality_classifier,
+    op1_simhash, op2_html_text, op3_chat_format, op4_secret_scan, op5_toxicity, op6_language_id, op7_mixing,
+    op8_decontaminate, op9_quality_rules, op10_quality_classifier,
 )}
 ORACLES: dict[str, str] = {}
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES["pipeline"] = pipeline

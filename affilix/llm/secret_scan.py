@@ -117,31 +117,38 @@ def read_ledger(spark: SparkSession, ledger: str) -> DataFrame | None:
         return None
 
 
-def findings(docs: DataFrame, ledger: str, rules: list[Rule] = RULES) -> DataFrame:
-    """``doc_id, blob_id, spans(start, kind, end)`` of every row of ``docs``: the ledger joined back to all its paths.
+def secret_spans(spark: SparkSession, ledger: str, rules: list[Rule] = RULES) -> DataFrame:
+    """``blob_id, spans(start, kind, end)`` of the blobs in the ledger that hold something by these rule versions.
 
-    Null texts count as empty, repeated rows and null ids stay. Spans are sorted by start, then in the order of the rules.
+    Spans are sorted by start, then in the order of the rules.
     """
-    spark = docs.sparkSession
     order = F.create_map(*[x for n, r in enumerate(rules) for x in (F.lit(r.key), F.lit(n))])
-    known = (
+    kinds = F.array(*[F.lit(r.kind) for r in rules])
+
+    def ordered(s: Column) -> Column:
+        return F.struct(s["start"].alias("start"), F.element_at(order, F.col("rule")).alias("n"), s["end"].alias("end"))
+
+    def named(s: Column) -> Column:
+        return F.struct(s["start"].alias("start"), F.get(kinds, s["n"]).alias("kind"), s["end"].alias("end"))
+
+    return (
         read_ledger(spark, ledger)
         .filter(F.col("rule").isin([r.key for r in rules]) & (F.size("spans") > 0))
         .dropDuplicates(["blob_id", "rule"])
-        .groupBy("blob_id").agg(F.collect_list(F.transform(
-            "spans",
-            lambda s: F.struct(s["start"].alias("start"), F.element_at(order, F.col("rule")).alias("n"), s["end"].alias("end")),
-        )).alias("lists"))
-        .select("blob_id", F.sort_array(F.flatten("lists")).alias("sorted"))
+        .groupBy("blob_id").agg(F.collect_list(F.transform("spans", ordered)).alias("lists"))
+        .select("blob_id", F.transform(F.sort_array(F.flatten("lists")), named).alias("spans"))
     )
-    kinds = F.array(*[F.lit(r.kind) for r in rules])
+
+
+def findings(docs: DataFrame, ledger: str, rules: list[Rule] = RULES) -> DataFrame:
+    """``doc_id, blob_id, spans(start, kind, end)`` of every row of ``docs``: the ledger joined back to all its paths.
+
+    Null texts count as empty, repeated rows and null ids stay.
+    """
     paths = docs.select("doc_id", blob_of(F.col("text")).alias("blob_id"))
     none = F.array().cast("array<struct<start: int, kind: string, end: int>>")
-    return paths.join(known, "blob_id", "left").select(
-        "doc_id", "blob_id",
-        F.coalesce(F.transform("sorted", lambda s: F.struct(
-            s["start"].alias("start"), F.get(kinds, s["n"]).alias("kind"), s["end"].alias("end")
-        )), none).alias("spans"),
+    return paths.join(secret_spans(docs.sparkSession, ledger, rules), "blob_id", "left").select(
+        "doc_id", "blob_id", F.coalesce("spans", none).alias("spans")
     )
 
 
@@ -185,3 +192,21 @@ def redact(text: Column, spans: Column, mask: str = "[REDACTED]") -> Column:
         return F.concat(F.array_join(acc["parts"], ""), F.substr(text, acc["at"] + 1))
 
     return F.when(F.size(spans) > 0, F.aggregate(spans, begin, step, finish)).otherwise(text)
+
+
+def redact_documents(docs: DataFrame, ledger: str, rules: list[Rule] = RULES) -> DataFrame:
+    """``docs`` with the secrets of every text replaced, and ``n_chars``, where there is one, counted again.
+
+    Only blobs with findings travel to their documents; a null text stays null.
+    """
+    update_ledger(docs, ledger, rules)
+    found = secret_spans(docs.sparkSession, ledger, rules).select(
+        F.col("blob_id").alias("_blob"), F.col("spans").alias("_spans")
+    )
+    joined = docs.withColumn("_blob", blob_of(F.col("text"))).join(found, "_blob", "left")
+    spans = F.coalesce("_spans", F.array().cast("array<struct<start: int, kind: string, end: int>>"))
+    out = joined.withColumn("text", redact(F.col("text"), spans))
+    if "n_chars" in docs.columns:
+        changed = F.char_length("text").cast(docs.schema["n_chars"].dataType)
+        out = out.withColumn("n_chars", F.when(F.size(spans) > 0, changed).otherwise(F.col("n_chars")))
+    return out.select(*docs.columns)
