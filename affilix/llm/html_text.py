@@ -33,6 +33,11 @@ LABELLED = """
 60 0 8 0 5 0 0 1 0
 90 0 5 0 45 0 0 1 0
 150 0 40 0 30 0 0 1 0
+12 0 10 0 80 0 0 1 0
+5 100 4 100 90 0 0 1 0
+40 0 3 0 120 0 0 1 0
+20 10 15 0 55 0 0 1 0
+9 0 60 0 70 0 0 1 0
 3 0 12 0 80 0 1 1 0
 25 0 12 0 80 0 1 1 0
 140 2 30 0 90 0 1 1 0
@@ -96,6 +101,12 @@ LABELLED = """
 110 4 60 0 70 0 0 0 1
 24 10 110 0 5 0 0 0 1
 200 2 40 0 6 0 0 0 1
+60 0 80 0 4 0 0 0 1
+45 0 70 0 8 30 0 0 1
+38 0 0 0 0 0 0 0 1
+150 1 20 0 12 100 0 0 1
+33 6 52 0 18 0 0 0 1
+75 0 11 100 2 100 0 0 1
 """
 
 _BLOCKS = frozenset(
@@ -222,8 +233,9 @@ class Tree(NamedTuple):
         return node.label
 
 
-def train(rows: list[tuple[float, ...]], depth: int = 8) -> Tree:
-    """A tree grown by Gini impurity on rows whose last value is the label; of equal splits the first feature wins."""
+def train(rows: list[tuple[float, ...]], depth: int = 6, least: int = 5) -> Tree:
+    """A tree grown by Gini impurity on rows whose last value is the label, no leaf below ``least`` rows; of equal splits
+    the first feature wins."""
     labels = [r[-1] for r in rows]
     label = int(2 * sum(labels) >= len(labels))
     if depth == 0 or len(set(labels)) < 2:
@@ -240,6 +252,8 @@ def train(rows: list[tuple[float, ...]], depth: int = 8) -> Tree:
             limit = (a + b) / 2
             low = [r[-1] for r in rows if r[feature] <= limit]
             high = [r[-1] for r in rows if r[feature] > limit]
+            if min(len(low), len(high)) < least:
+                continue
             cost = impurity(low) + impurity(high)
             if best is None or cost < best[0] - 1e-9:
                 best = (cost, feature, limit)
@@ -247,15 +261,13 @@ def train(rows: list[tuple[float, ...]], depth: int = 8) -> Tree:
         return Tree(label)
     _, feature, limit = best
     return Tree(
-        label, feature, limit, train([r for r in rows if r[feature] <= limit], depth - 1),
-        train([r for r in rows if r[feature] > limit], depth - 1),
+        label, feature, limit, train([r for r in rows if r[feature] <= limit], depth - 1, least),
+        train([r for r in rows if r[feature] > limit], depth - 1, least),
     )
 
 
 def labelled_table() -> list[tuple[float, ...]]:
-    rows = [tuple(float(x) for x in line.split()) for line in LABELLED.strip().splitlines()]
-    # The last two of a line are the mark and the label.
-    return rows
+    return [tuple(float(x) for x in line.split()) for line in LABELLED.strip().splitlines()]
 
 
 def main_text(page: str | None, tree: Tree) -> str:

@@ -100,7 +100,7 @@ def _rules() -> dict[str, Column]:
     }
 
 
-RULES = list(_rules())
+RULES = ["length", "word_length", "symbols", "lines", "repeats", "capitals", "marks"]
 
 
 def votes(statistics: DataFrame) -> DataFrame:
