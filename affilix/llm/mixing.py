@@ -28,6 +28,7 @@ TARGETS = {"good": 0.90, "low": 0.08, "toxic": 0.02}
 MAX_TRAINING = 6_000
 STEPS = 60
 TOLERANCE = 1e-4
+PATIENCE = 20
 
 
 class Domains(NamedTuple):
@@ -102,7 +103,8 @@ def fit_rates(cells: DataFrame, targets: dict[str, float], steps: int = STEPS) -
     """``cells`` (``quality, toxic, tokens``) with ``rate``, expected tokens per domain being ``targets`` of all tokens.
 
     Least squares of the relative misses by accelerated projected gradients; each step is one aggregation. Targets are
-    scaled to sum 1. A domain without any expected token cannot be met and is left aside. Stops within a ten-thousandth.
+    scaled to sum 1. A domain without any expected token cannot be met and is left aside. Stops within a ten-thousandth, or
+    when the misses no longer shrink.
     """
     total = cells.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("n")).first()["n"]
     if not total:
@@ -120,12 +122,16 @@ def fit_rates(cells: DataFrame, targets: dict[str, float], steps: int = STEPS) -
     weight = np.where(np.diag(curvature) > 0, weight, 0.0)
     moves: list[tuple[list[float], float]] = []
     speed = 1.0
+    history: list[float] = []
     for _ in range(steps):
         ahead = _ahead(moves)
         got = cells.agg(*[F.sum(mass * p * ahead).alias(d) for d, p in zip(DOMAINS, share)]).first()
         miss = np.array([got[d] for d in DOMAINS]) - goal
         if np.all(np.abs(miss) * (weight > 0) <= TOLERANCE * np.maximum(goal, 0.01)):
             break
+        history.append(float(np.sum(weight * miss * miss)))
+        if len(history) > PATIENCE and min(history[-PATIENCE:]) > 0.99 * min(history[:-PATIENCE]):
+            break
         later = (1 + np.sqrt(1 + 4 * speed * speed)) / 2
         moves.append(((rate_of_step * weight * miss).tolist(), float((speed - 1) / later)))
         speed = later

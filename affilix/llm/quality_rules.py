@@ -19,6 +19,9 @@ from affilix.session import materialize
 WINDOW = 5
 SYMBOLS = "#*$%&|<>"
 VOTES = (-1, 0, 1)
+#: What is assumed of every rule: it speaks against so many good texts at most, and against so many with its fault at least.
+#: Votes alone cannot tell a fault that only one rule sees from a whim of that rule.
+MOST_WRONG, LEAST_OWN = 0.02, 0.9
 
 
 def words_of(text: Column) -> Column:
@@ -121,6 +124,13 @@ class VoteModel(NamedTuple):
         return sum(cast[1:]) / sum(cast)
 
 
+def _bounded(chance: dict[int, list[float]], k: int, against: float) -> None:
+    """Set the chance of a vote against in class ``k``, the other votes keeping their proportion."""
+    rest = (1 - against) / max(1 - chance[-1][k], 1e-12)
+    for v in VOTES:
+        chance[v][k] = against if v < 0 else chance[v][k] * rest
+
+
 def _classes(model: VoteModel, pattern: tuple[int, ...], names: list[str]) -> list[float]:
     logs = [
         math.log(s) + sum(math.log(model.chance[name][v][k]) for v, name in zip(pattern, names))
@@ -131,7 +141,7 @@ def _classes(model: VoteModel, pattern: tuple[int, ...], names: list[str]) -> li
     return [x / sum(odds) for x in odds]
 
 
-def fit_votes(patterns: list[tuple[tuple[int, ...], int]], names: list[str], rounds: int = 50) -> VoteModel:
+def fit_votes(patterns: list[tuple[tuple[int, ...], int]], names: list[str], rounds: int = 30) -> VoteModel:
     """Estimate the model from (votes, count) pairs by expectation-maximisation.
 
     Texts are bad in one way each, so rules against them seldom agree, and two classes would leave all but the commonest
@@ -158,6 +168,8 @@ def fit_votes(patterns: list[tuple[tuple[int, ...], int]], names: list[str], rou
                     seen[cast[j]][k] += w[k] * c
             sums = [sum(x[k] for x in seen.values()) for k in range(n_classes)]
             chance[name] = {v: [a / b for a, b in zip(x, sums)] for v, x in seen.items()}
+            _bounded(chance[name], 0, min(chance[name][-1][0], MOST_WRONG))
+            _bounded(chance[name], j + 1, max(chance[name][-1][j + 1], LEAST_OWN))
         model = VoteModel(share, chance)
         weight = [_classes(model, cast, names) for cast, _ in patterns]
     return model

@@ -10,6 +10,7 @@ from affilix.llm import (
     toxicity,
 )
 from affilix.llm.common import held_out, table
+from affilix.llm.sql import ORACLES  # noqa: F401
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,7 +73,7 @@ QUERIES = {f.__name__: f for f in (
     op1_simhash, op2_html_text, op3_chat_format, op4_secret_scan, op5_toxicity, op6_language_id, op7_mixing,
     op8_decontaminate, op9_quality_rules, op10_quality_classifier,
 )}
-ORACLES: dict[str, str] = {}
+
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
