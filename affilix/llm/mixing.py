@@ -72,31 +72,23 @@ def posteriors() -> list[Column]:
     return [quality * (1 - toxic), (1 - quality) * (1 - toxic), toxic]
 
 
-def rate_after(moves: list[tuple[list[float], float]]) -> Column:
-    """Rate of a cell after the given steps (slope per domain, momentum), from rate 1."""
+def after(moves: list[tuple[list[float], float]], what: str) -> Column:
+    """``rate`` of a cell after the given steps (slope per domain, momentum) from rate 1, or the point ``ahead`` at which
+    the next slope is taken: the momentum carries the last step on."""
     if not moves:
         return F.lit(1.0)
-    steps = F.array(*[
-        F.struct(*[F.lit(float(s)).alias(d) for d, s in zip(DOMAINS, slope)], F.lit(momentum).alias("momentum"))
-        for slope, momentum in moves
-    ])
+    steps = F.expr("array(%s)" % ", ".join(
+        "array(%s)" % ", ".join(f"{float(x)!r}D" for x in (*slope, momentum)) for slope, momentum in moves
+    ))
     begin = F.struct(F.lit(1.0).alias("rate"), F.lit(1.0).alias("ahead"))
     share = posteriors()
 
     def step(acc: Column, move: Column) -> Column:
-        slope = sum((p * move[d] for d, p in zip(DOMAINS, share)), F.lit(0.0))
+        slope = sum((p * move[k] for k, p in enumerate(share)), F.lit(0.0))
         rate = F.greatest(acc["ahead"] - slope, F.lit(0.0))
-        return F.struct(rate.alias("rate"), (rate + move["momentum"] * (rate - acc["rate"])).alias("ahead"))
+        return F.struct(rate.alias("rate"), (rate + move[len(share)] * (rate - acc["rate"])).alias("ahead"))
 
-    return F.aggregate(steps, begin, step, lambda acc: acc["rate"])
-
-
-def _ahead(moves: list[tuple[list[float], float]]) -> Column:
-    """The point at which the next slope is taken: the momentum carries the last step on."""
-    if not moves:
-        return F.lit(1.0)
-    now, before = rate_after(moves), rate_after(moves[:-1])
-    return now + moves[-1][1] * (now - before)
+    return F.aggregate(steps, begin, step, lambda acc: acc[what])
 
 
 def fit_rates(cells: DataFrame, targets: dict[str, float], steps: int = STEPS) -> DataFrame:
@@ -124,7 +116,7 @@ def fit_rates(cells: DataFrame, targets: dict[str, float], steps: int = STEPS) -
     speed = 1.0
     history: list[float] = []
     for _ in range(steps):
-        ahead = _ahead(moves)
+        ahead = after(moves, "ahead")
         got = cells.agg(*[F.sum(mass * p * ahead).alias(d) for d, p in zip(DOMAINS, share)]).first()
         miss = np.array([got[d] for d in DOMAINS]) - goal
         if np.all(np.abs(miss) * (weight > 0) <= TOLERANCE * np.maximum(goal, 0.01)):
@@ -132,10 +124,12 @@ def fit_rates(cells: DataFrame, targets: dict[str, float], steps: int = STEPS) -
         history.append(float(np.sum(weight * miss * miss)))
         if len(history) > PATIENCE and min(history[-PATIENCE:]) > 0.99 * min(history[:-PATIENCE]):
             break
+        if len(history) > 1 and history[-1] > history[-2]:
+            speed = 1.0
         later = (1 + np.sqrt(1 + 4 * speed * speed)) / 2
         moves.append(((rate_of_step * weight * miss).tolist(), float((speed - 1) / later)))
         speed = later
-    return cells.withColumn("rate", F.greatest(_ahead(moves), F.lit(0.0)))
+    return cells.withColumn("rate", F.greatest(after(moves, "ahead"), F.lit(0.0)))
 
 
 def mix(
