@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from affilix.catalog import sql as S
 from affilix.catalog import tables as T
 from affilix.catalog.register import query
-from affilix.functions.markup import extract_items
+from affilix.functions.markup import extract_items, plain_text
 from affilix.operators.extraction import extract, html_addresses, json_affiliations, xml_affiliations, yield_report
 from affilix.plans.collect import collect
 from affilix.plans.resolve import attach_cached, resolve
@@ -110,7 +110,7 @@ def _payloads(spark, sf):
     }
     stored = F.array(*[
         F.struct(
-            F.lit(p).alias("provider"), F.lit("aff").alias("tag"),
+            F.lit(p).alias("provider"), F.lit(None).cast("string").alias("tag"),
             F.when(F.col("n_chars") < 400, F.lit("<damaged")).otherwise(b).alias("body"),
         )
         for p, b in bodies.items()
@@ -203,3 +203,33 @@ def attach_known(spark, sf):
 def resolve_e2e(spark, sf):
     institutes = T.registry(T.suppliers(spark, sf))
     return resolve(T.papers(spark, sf), institutes, T.supplier_addresses(spark, sf), T.scorer(spark, sf))
+
+
+@query("""
+    SELECT CAST(doc_id AS VARCHAR) AS cord_uid, CASE WHEN quality = 1 THEN 'A ' || source ELSE 'B ' || lang END AS list
+    FROM documents JOIN labels USING (doc_id) WHERE quality IS NOT NULL OR toxic = 1
+""")
+def xml_choice(spark, sf):
+    """Papers with an article and a citation stored: the id space decides which is read."""
+    docs = T.table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("cord_uid"), "source", "lang")
+    article = F.concat(F.lit("<r><aff>A "), F.col("source"), F.lit("</aff><Affiliation>no</Affiliation></r>"))
+    citation = F.concat(F.lit("<r><Affiliation>B "), F.col("lang"), F.lit("</Affiliation><aff>no</aff></r>"))
+    both = F.array(
+        F.struct(F.lit("aff").alias("tag"), article.alias("body")),
+        F.struct(F.lit("Affiliation").alias("tag"), citation.alias("body")),
+    )
+    payloads = docs.select("cord_uid", F.lit("pmc").alias("provider"), F.inline(both))
+    found = collect(T.metadata(spark, sf), payloads).filter(F.size("affiliate") > 0)
+    return found.select("cord_uid", F.array_join("affiliate", "|").alias("list"))
+
+
+@query("""
+    SELECT page_id, 'O''Neil, Gda' || chr(324) || 'sk ' || chr(8211) || ' a b ' || chr(321) || chr(243) || 'd & &lt; '
+        || page_id AS text FROM pages
+""")
+def html_references(spark, sf):
+    """References of HTML 5, of Windows-1252 numbers and of doubly escaped text; a line break parts words."""
+    markup = "<span>O&apos;Neil, Gda&nacute;sk &#150; a<br>b&nbsp;&Lstrok;&oacute;d &amp; &amp;lt; "
+    return T.table(spark, sf, "pages").select(
+        "page_id", plain_text(F.concat(F.lit(markup), F.col("page_id"), F.lit("</span>"))).alias("text")
+    )

@@ -13,7 +13,7 @@ from affilix.operators.retrieval import build_index, search_join
 from affilix.operators.segments import (
     best_segments, distinct_segments, fit_segment_model, model_scorer, segments,
 )
-from affilix.operators.similarity import class_of, neighbour_counts, neighbours, term_classes, tfidf_terms
+from affilix.operators.similarity import class_of, neighbour_counts, neighbour_rows, neighbours, term_classes, tfidf_terms
 from affilix.operators.voting import best_entry, class_votes
 from affilix.plans.resolve import describe_strings
 from affilix.session import materialize
@@ -53,6 +53,37 @@ def cosine_neighbours(spark, sf):
     )
 
 
+@query(f"""
+    WITH {S.tfidf('documents', 'doc_id', 'text')},
+    one AS (SELECT bag, min(doc_id) AS doc_id FROM bags GROUP BY bag),
+    v AS (SELECT o.doc_id, w.term, w.w FROM one o JOIN weights w USING (doc_id)),
+    sims AS (SELECT a.doc_id, b.doc_id AS neighbour, sum(a.w * b.w) AS sim FROM v a JOIN v b USING (term) GROUP BY ALL)
+    SELECT doc_id, neighbour, round(sim, 6) AS similarity FROM sims WHERE round(sim, 9) > 0.65
+""")
+def document_neighbours(spark, sf):
+    """Whole documents; a class of copies goes by its smallest id."""
+    docs = T.table(spark, sf, "documents").select("doc_id", "text")
+    found = neighbours(docs, "text")
+    first = docs.select(class_of(F.col("text")).alias("class_id"), "doc_id").groupBy("class_id").agg(
+        F.min("doc_id").alias("doc_id")
+    )
+    first = materialize(first, "first_of_class")
+    there = first.select(F.col("class_id").alias("neighbour_id"), F.col("doc_id").alias("neighbour"))
+    return found.pairs.join(first, "class_id").join(there, "neighbour_id").select(
+        "doc_id", "neighbour", F.round("similarity", 6).alias("similarity")
+    )
+
+
+@query(_TITLE_PAIRS + """
+    SELECT t.title, u.title AS neighbour FROM titles t JOIN bags b USING (page_id) JOIN near n ON n.bag = b.bag
+    JOIN bags c ON c.bag = n.neighbour JOIN titles u ON u.page_id = c.page_id
+""")
+def neighbour_lists(spark, sf):
+    """The neighbour list of every string, written out."""
+    pages = T.titles(spark, sf)
+    return neighbour_rows(pages, neighbours(pages, "title"), "title")
+
+
 @query(_TITLE_PAIRS + """
     SELECT t.page_id, coalesce(CAST(sum(o.copies) AS BIGINT), 0) AS n_neighbours
     FROM titles t LEFT JOIN bags b USING (page_id) LEFT JOIN near n ON n.bag = b.bag LEFT JOIN one o ON o.bag = n.neighbour

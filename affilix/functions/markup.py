@@ -3,20 +3,25 @@
 from __future__ import annotations
 
 import json
-from html.entities import name2codepoint
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Character references that the expression below resolves; numeric ones need no table.
-_NAMED = {name: chr(point) for name, point in name2codepoint.items() if name != "amp"}
+_NAMED = {name[:-1]: text for name, text in html5.items() if name.endswith(";") and name != "amp;"}
+# References to the code points 0x80 to 0x9F mean the characters that Windows-1252 has there.
+_WINDOWS = {n: bytes([n]).decode("cp1252", "ignore") for n in range(0x80, 0xA0)}
+# Tags after which a new line begins on a page.
+_BREAKS = r"(?i)</?(?:br|p|div|li|ul|ol|tr|td|th|table|h[1-6]|address|section|article|dl|dt|dd|hr)\b[^>]*>"
 
 
 def _code_point(number: Column) -> Column:
     """The character of a code point; NULL outside the range of characters."""
+    windows = F.create_map(*[x for n, c in _WINDOWS.items() if c for x in (F.lit(n).cast("bigint"), F.lit(c))])
     valid = (number > 0) & (number <= 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
     padded = F.lpad(F.hex(F.when(valid, number)), 8, "0")
-    return F.decode(F.unhex(padded), "UTF-32")
+    return F.coalesce(F.try_element_at(windows, number), F.decode(F.unhex(padded), "UTF-32"))
 
 
 def _reference(name: Column) -> Column:
@@ -40,7 +45,8 @@ def unescape(text: Column) -> Column:
 
 def plain_text(fragment: Column) -> Column:
     """Visible text of a fragment: tags out, references resolved, white space runs to one space, trimmed."""
-    bare = F.regexp_replace(F.regexp_replace(fragment, r"(?s)<!--.*?-->", ""), r"(?s)<[^>]*>", "")
+    broken = F.regexp_replace(F.regexp_replace(fragment, r"(?s)<!--.*?-->", ""), _BREAKS, "\n")
+    bare = F.regexp_replace(broken, r"(?s)<[^>]*>", "")
     return F.trim(F.regexp_replace(unescape(bare), r"[\s\x{a0}]+", " "))
 
 

@@ -95,24 +95,27 @@ def html_addresses(body: Column, parts: bool = False) -> Column:
 
 
 def extract(payloads: DataFrame) -> DataFrame:
-    """``cord_uid, provider, affiliate``: the list in each payload, in one scan.
+    """``cord_uid, provider, tag, affiliate``: the list in each payload. Only XML payloads go through Python workers.
 
-    XML goes through Python workers, which see NULL bodies for the payloads of other providers.
+    ``tag`` is that of the payload. XML without a tag is read as an article.
     """
     provider, body = F.col("provider"), F.col("body")
-    is_xml = provider == "pmc"
-    xml = xml_affiliations(F.when(is_xml, body), F.when(is_xml, F.coalesce("tag", F.lit(XML_TAGS["archive"]))))
+    empty = F.array().cast("array<string>")
+    tag = F.coalesce("tag", F.lit(XML_TAGS["archive"]))
     lists = (
         F.when(provider == "elsevier", json_affiliations(body))
         .when(provider == "medr", html_addresses(body))
         .when(provider == "bior", html_addresses(body, parts=True))
-        .when(is_xml, xml)
-    )
-    empty = F.array().cast("array<string>")
-    return payloads.filter(provider.isin(PROVIDERS)).select(
-        "cord_uid", "provider", F.coalesce(lists, empty).alias("affiliate")
     )
 
+    def found(where: Column, affiliate: Column) -> DataFrame:
+        return payloads.filter(where).select(
+            "cord_uid", "provider", "tag", F.coalesce(affiliate, empty).alias("affiliate")
+        )
+
+    others = [name for name in PROVIDERS if name != "pmc"]
+    return found(provider == "pmc", xml_affiliations(body, tag)).unionByName(found(provider.isin(others), lists))
+
 
 def yield_report(extracted: DataFrame) -> DataFrame:
     """``provider, payloads, without, affiliations``."""

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from affilix import schemas
 from affilix.functions.text import normalize
-from affilix.operators.skew import grid_join
 
 
 class Diff(NamedTuple):
@@ -44,10 +43,7 @@ def diff_papers(data: DataFrame, prev: DataFrame | None, skip_if_prior_larger: b
     """
     prior = optional(data.sparkSession, prev, schemas.COLLECTED)
     lists = prior.select("cord_uid", "affiliate")
-    joined = grid_join(
-        data.drop("affiliate"), lists, ["cord_uid"], "left",
-        spread_left=[c for c in schemas.METADATA_COLUMNS if c in data.columns], spread_right=["affiliate"],
-    ).select(*schemas.COLLECTED_COLUMNS)
+    joined = data.drop("affiliate").join(lists, "cord_uid", "left").select(*schemas.COLLECTED_COLUMNS)
     done, todo = joined.filter("affiliate IS NOT NULL"), joined.filter("affiliate IS NULL")
     if skip_if_prior_larger:
         covered = _covered(prior, data)
@@ -75,9 +71,7 @@ def diff_strings(strings: DataFrame, cache: DataFrame | None, skip_if_prior_larg
     prior = optional(strings.sparkSession, cache, schemas.CACHE)
     if cache is None:
         return Diff(prior, strings)
-    joined = grid_join(
-        strings, prior, ["affiliate"], "left", spread_left=["affiliate"], spread_right=["grid_id"]
-    )
+    joined = strings.join(prior, "affiliate", "left")
     done, todo = joined.filter("grid_id IS NOT NULL"), joined.filter("grid_id IS NULL")
     if skip_if_prior_larger:
         covered = _covered(prior, strings)

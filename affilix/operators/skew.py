@@ -32,12 +32,12 @@ def will_broadcast(df: DataFrame) -> bool:
 def hot_keys(left: DataFrame, right: DataFrame, on: list[str], task_pairs: int = TASK_PAIRS) -> DataFrame:
     """Keys whose join would be too much for one task: ``on``, ``_l`` and ``_r`` (rows on either side), ``_cells``.
 
-    A key's load is the number of row pairs it yields. Only keys above ``total load / MAX_HOT`` can be hot, so there are
-    fewer than ``MAX_HOT`` of them whatever the data, and the result may be broadcast.
+    A key's load is the number of row pairs it yields. NULL keys join nothing and are not counted.
     """
     def sizes(df: DataFrame, side: int) -> DataFrame:
         one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
-        return df.select(*on, (none if side else one).alias("_l"), (one if side else none).alias("_r"))
+        there = df.dropna(subset=on)
+        return there.select(*on, (none if side else one).alias("_l"), (one if side else none).alias("_r"))
 
     load = F.greatest(F.col("_l"), F.lit(1)).cast("double") * F.greatest(F.col("_r"), F.lit(1))
     keys = (
@@ -46,10 +46,8 @@ def hot_keys(left: DataFrame, right: DataFrame, on: list[str], task_pairs: int =
         .groupBy(*on).agg(F.sum("_l").alias("_l"), F.sum("_r").alias("_r"))
         .withColumn("_load", load)
     )
-    bound = keys.agg((F.coalesce(F.sum("_load"), F.lit(0.0)) / MAX_HOT).alias("b")).scalar()
     return (
         keys.filter(F.col("_load") > task_pairs)
-        .filter(F.col("_load") > bound)
         .withColumn("_cells", F.ceil(F.col("_load") / task_pairs))
         .drop("_load")
     )
@@ -72,14 +70,18 @@ def grid_join(
     with any share of the rows is worked on by as many tasks as its load asks for. For a left join the left rows are
     dealt out but not repeated. Rows are dealt by a hash of ``spread_*``, which a retried task computes alike.
 
-    The keys of both sides are counted first, so inputs that are costly to compute should be materialized.
+    The keys of both sides are counted first, so inputs that are costly to compute should be materialized; a side made by
+    ``explode`` always, as its estimated size is that of the rows before. The list of hot keys is broadcast while it has
+    at most ``MAX_HOT`` rows; a longer one is joined by key. Use this where keys multiply on both sides: where one side
+    is unique, the adaptive skew join of Spark does.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"unsupported join: {how}")
     if will_broadcast(right) or (how == "inner" and will_broadcast(left)):
         return left.join(right, on, how)
     found = materialize(hot_keys(left, right, on, task_pairs), "hot_keys")
-    if found.isEmpty():
+    n_hot = found.count()
+    if not n_hot:
         return left.join(right, on, how)
     cells, n_left, n_right = F.col("_cells"), F.col("_l"), F.greatest(F.col("_r"), F.lit(1))
     if how == "left":
@@ -87,13 +89,13 @@ def grid_join(
     else:
         strips_left = F.least(F.ceil(F.sqrt(cells * F.greatest(n_left, F.lit(1)) / n_right)), cells)
         strips_right = F.ceil(cells / F.greatest(strips_left, F.lit(1)))
-    hot = F.broadcast(
-        found.select(
-            *on,
-            F.greatest(strips_left, F.lit(1)).alias("_sl"),
-            F.greatest(strips_right, F.lit(1)).alias("_sr"),
-        )
+    hot = found.select(
+        *on,
+        F.greatest(strips_left, F.lit(1)).alias("_sl"),
+        F.greatest(strips_right, F.lit(1)).alias("_sr"),
     )
+    if n_hot <= MAX_HOT:
+        hot = F.broadcast(hot)
     one = F.lit(1).cast("bigint")
     sl, sr = F.coalesce("_sl", one), F.coalesce("_sr", one)
     if how == "left":

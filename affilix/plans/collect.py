@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from affilix import schemas
-from affilix.operators.extraction import extract
+from affilix.operators.extraction import extract, xml_tag
 from affilix.operators.incremental import diff_papers, union_all
 from affilix.operators.routing import LICENSE_RULES, OTHERS, route
-from affilix.operators.skew import grid_join
+
+XML_ROUTE = "pmc"
 
 
 def collect(
@@ -23,16 +24,20 @@ def collect(
 
     A paper with several routes gives one row per route. Papers of the route ``others`` get an empty list. A paper whose
     payload is not stored yet has no list and is left out, so a later run tries it again; so do papers without a route.
+    Of two XML payloads of a paper the article counts if the paper has an archive id, else the citation; one without a
+    tag serves either.
     """
     diff = diff_papers(metadata, prev, skip_if_prior_larger)
     routed = route(diff.todo.drop("affiliate"), rules)
-    found = extract(payloads).select("cord_uid", F.col("provider").alias("route"), "affiliate")
-    stored = grid_join(
-        routed.filter(F.col("route") != OTHERS), found, ["cord_uid", "route"],
-        spread_left=[c for c in schemas.METADATA_COLUMNS], spread_right=["affiliate"],
+    found = extract(payloads).select(
+        F.col("cord_uid").alias("paper"), F.col("provider").alias("from"), "tag", F.col("affiliate").alias("stored")
     )
-    others = routed.filter(F.col("route") == OTHERS).withColumn("affiliate", F.array().cast("array<string>"))
-    columns = schemas.COLLECTED_COLUMNS
-    return union_all(diff.done.select(*columns), stored.select(*columns), others.select(*columns)).dropna(
-        subset=["affiliate"]
+    wanted = (F.col("from") != XML_ROUTE) | F.col("tag").isNull() | (F.col("tag") == xml_tag())
+    match = (F.col("cord_uid") == F.col("paper")) & (F.col("route") == F.col("from")) & wanted
+    # One pass over the routed papers: the others have no payload and get an empty list.
+    empty = F.array().cast("array<string>")
+    listed = routed.join(found, match, "left").withColumn(
+        "affiliate", F.when(F.col("route") == OTHERS, F.coalesce("stored", empty)).otherwise(F.col("stored"))
     )
+    columns = schemas.COLLECTED_COLUMNS
+    return union_all(diff.done.select(*columns), listed.select(*columns)).dropna(subset=["affiliate"])
