@@ -9,14 +9,14 @@ from affilix.catalog import tables as T
 from affilix.catalog.register import query
 from affilix.functions.text import clean
 from affilix.operators.gazetteer import build_gazetteer, parse_places
-from affilix.operators.retrieval import build_index, search_join
+from affilix.operators.retrieval import build_index, load_index, save_index, search_join
 from affilix.operators.segments import (
     best_segments, distinct_segments, fit_segment_model, model_scorer, segments,
 )
 from affilix.operators.similarity import class_of, neighbour_counts, neighbour_rows, neighbours, term_classes, tfidf_terms
 from affilix.operators.voting import best_entry, class_votes
 from affilix.plans.resolve import describe_strings
-from affilix.session import materialize
+from affilix.session import materialize, scratch_path
 
 
 @query(f"""
@@ -107,6 +107,21 @@ def registry_index(spark, sf):
     return index.postings.select("field", "token", "inst_id", F.round("impact", 6).alias("impact"))
 
 
+@query(f"""
+    WITH reg AS (SELECT CAST(p_partkey AS VARCHAR) AS id, p_name, p_type || ' ' || p_name || ' ' || p_brand AS alias,
+                 p_brand, p_type, substr(p_type, 1, 3) AS code FROM part),
+    rows AS ({S.registry_rows('reg', name='p_name', aliases='alias', country='p_type', country_code='code', city='p_brand')}),
+    none AS (SELECT '' AS qid, '' AS institute, '' AS country, '' AS city WHERE false),
+    {S.search('rows', 'none')}
+    SELECT field, tok AS token, id AS inst_id, round(impact, 6) AS impact FROM s_imp
+""")
+def registry_index_saved(spark, sf):
+    """The index written by one run and read by another."""
+    path = scratch_path(spark, "saved_index")
+    save_index(build_index(T.part_registry(spark, sf)), path)
+    return load_index(spark, path).postings.select("field", "token", "inst_id", F.round("impact", 6).alias("impact"))
+
+
 _DOCUMENTS = "reg AS (SELECT CAST(doc_id AS VARCHAR) AS id, text FROM documents), rows AS (" + S.registry_rows(
     "reg", name="text"
 ) + ")"

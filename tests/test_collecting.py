@@ -165,3 +165,13 @@ def test_collected_csv_round_trip(spark, tmp_path):
     assert {r.cord_uid: r.affiliate for r in read_collected(spark, path).collect()} == {
         "a": ['x, "y"', "l\nf"], "b": [], "c": None,
     }
+
+
+def test_id_space_chooses_between_two_xml_payloads(spark):
+    papers = meta(spark, ("a", "x", "PMC1", "5"), ("b", "x", None, "5"))
+    payloads = spark.createDataFrame(
+        [(p, "pmc", tag, f"<r><{tag}>{text}</{tag}></r>") for p in "ab" for tag, text in (("aff", "A"), ("Affiliation", "B"))],
+        schemas.PAYLOADS,
+    )
+    rows = sorted((r.cord_uid, r.affiliate) for r in collect(papers, payloads).collect())
+    assert rows == [("a", ["A"]), ("b", ["B"])]

@@ -97,3 +97,17 @@ def test_expressions_stay_in_the_jvm(spark, capsys):
     for function in (clean, normalize, split_commas, strip_digits, canonical_country, words, plain_text):
         df.select(function(F.col("c")).alias("x")).explain()
         assert "Python" not in capsys.readouterr().out
+
+
+def test_list_decoding_refuses_what_follows_a_list(spark):
+    cells = ["['a'],['b']", "['a'] x", "['a', \"b's\"]", "[]", " [ 'a' ,'b' ] ", "['a',]", "[s]", "['a\\'b']", "['None']", "[None]"]
+    assert apply(spark, decode_list, cells) == [
+        None, None, ["a", "b's"], [], ["a", "b"], ["a"], None, ["a'b"], ["None"], [None]
+    ]
+
+
+def test_references_as_a_browser_reads_them(spark):
+    cells = ["O&apos;Neil", "Gda&nacute;sk", "&Lstrok;&oacute;d", "a&#150;b", "a<br>b", "&amp;lt;", "&#x92;", "&unknown;", "&#99999999999;"]
+    assert apply(spark, plain_text, cells) == [
+        "O'Neil", "Gdańsk", "Łód", "a–b", "a b", "&lt;", "’", "&unknown;", "&#99999999999;"
+    ]

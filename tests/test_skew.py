@@ -41,3 +41,21 @@ def test_small_side_is_left_to_spark(spark):
 
 def test_size_settings():
     assert [_bytes(s) for s in ("10485760b", "10MB", "1g", "-1", "77")] == [10485760, 10 << 20, 1 << 30, -1, 77]
+
+
+def test_null_keys_hide_no_hot_key(spark, no_broadcast):
+    left = spark.range(31_000).select(F.when(F.col("id") < 1000, 1).cast("int").alias("k"), F.col("id").alias("l"))
+    right = spark.range(30_080).select(F.when(F.col("id") < 80, 1).cast("int").alias("k"), F.col("id").alias("r"))
+    found = hot_keys(left, right, ["k"], 10_000).collect()
+    assert [(r.k, r._l, r._r) for r in found] == [(1, 1000, 80)]
+
+
+def test_more_hot_keys_than_are_broadcast(spark, no_broadcast, monkeypatch):
+    from affilix.operators import skew
+
+    monkeypatch.setattr(skew, "MAX_HOT", 3)
+    left, right = sides(spark)
+    got = grid_join(left, right, ["k"], spread_left=["l"], spread_right=["r"], task_pairs=1)
+    assert sorted(map(str, got.select("k", "l", "r").collect())) == sorted(
+        map(str, left.join(right, "k").select("k", "l", "r").collect())
+    )
