@@ -1,7 +1,8 @@
 """Time the headline queries and print one JSON line.
 
 ``BENCH_SF_DIR`` names the folder of tables (default ``/root/testdata/sf0.1``), ``BENCH_CPUS`` the cores (default 8).
-Each query is built and run to its end once, all its rows being computed, after one small warm-up query.
+Each query is built and run to its end once, all its rows being computed, after one small warm-up query. ``growth`` is the
+time over that of the same query at the tenth of the scale, where those tables are there.
 """
 
 from __future__ import annotations
@@ -23,20 +24,28 @@ HEADLINE = [
 ]
 
 
+def timed(spark, name: str, folder: str) -> float:
+    start = time.perf_counter()
+    QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
+    return round(time.perf_counter() - start, 3)
+
+
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     spark = local_session(os.environ.get("BENCH_CPUS", "8"), "affilix-bench")
     spark.sparkContext.setLogLevel("ERROR")
     QUERIES["concat_affiliation"](spark, folder).write.format("noop").mode("overwrite").save()
-    seconds = {}
+    small = os.path.join(os.path.dirname(folder), "sf0.01")
+    seconds, growth = {}, {}
     for name in HEADLINE:
-        start = time.perf_counter()
-        QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
-        seconds[name] = round(time.perf_counter() - start, 3)
-        print(f"{name}: {seconds[name]}", file=sys.stderr)
+        seconds[name] = timed(spark, name, folder)
+        if small != folder and os.path.isdir(small):
+            # Seconds here over seconds at the small scale.
+            growth[name] = round(seconds[name] / timed(spark, name, small), 2)
+        print(f"{name}: {seconds[name]} {growth.get(name, '')}", file=sys.stderr)
     print(json.dumps({
         "metric": "headline queries, total", "value": round(sum(seconds.values()), 3), "unit": "sec",
-        "queries": seconds, "sf": os.path.basename(folder).removeprefix("sf"),
+        "queries": seconds, "growth": growth, "sf": os.path.basename(folder).removeprefix("sf"),
     }))
 
 
