@@ -61,13 +61,13 @@ class WindowSet:
     BITS = 20
 
     def __init__(self, windows: list[tuple[str, list[str]]]):
-        self.words: dict[int, list[tuple[list[bytes], list[str]]]] = {}
+        self.words: dict[int, list[tuple[bytes, list[str]]]] = {}
         by_size: dict[int, list[int]] = {}
         for text, items in windows:
             tokens = Tokens([text.encode()], _TABLE)
             size = len(tokens.starts)
             key = int(window_hashes(tokens.hashes, size)[0])
-            self.words.setdefault(key, []).append((text.encode().split(b" "), sorted(items)))
+            self.words.setdefault(key, []).append((text.encode(), sorted(items)))
             by_size.setdefault(size, []).append(key)
         self.maps = {}
         for size, keys in by_size.items():
@@ -90,9 +90,9 @@ def _scan(windows: WindowSet, texts: list[bytes]) -> list[tuple]:
     hits: dict[int, set[int]] = {}
     items: dict[int, set[str]] = {}
     for first, size, key in windows.candidates(tokens):
-        got = [
-            tokens.data[s:e].translate(_LOWER) for s, e in zip(tokens.starts[first:first + size], tokens.ends[first:first + size])
-        ]
+        got = b" ".join(
+            tokens.data[s:e] for s, e in zip(tokens.starts[first:first + size], tokens.ends[first:first + size])
+        ).translate(_LOWER)
         for words, ids in windows.words[key]:
             if words == got:
                 n = int(tokens.text[first])

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 import unicodedata
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -78,6 +79,17 @@ class Lexicon(NamedTuple):
     calibration: tuple[float, float, float] = (-4.0, 1.0, 1.0)
 
 
+def _joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The same places covered by spans in order that do not overlap."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if out and a < out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
+
+
 class Matcher:
     """The automaton of a lexicon."""
 
@@ -109,7 +121,11 @@ class Matcher:
             else:
                 hits[start] = max(hits.get(start, 0.0), weight)
         if excused and hits:
-            hits = {s: w for s, w in hits.items() if not any(a <= s < b for a, b in excused)}
+            # The only span that may hold a start is the first one that ends after it.
+            excused = _joined(excused)
+            ends = [b for _, b in excused]
+            at = {s: bisect_right(ends, s) for s in hits}
+            hits = {s: w for s, w in hits.items() if at[s] == len(ends) or s < excused[at[s]][0]}
         if not hits:
             return 0.0, 0.0
         words = folded.count(" ") - 1
@@ -181,7 +197,11 @@ def fit(examples: DataFrame, bound: int = MAX_ENTRIES) -> Lexicon:
 
 
 def _calibrated(examples: DataFrame, lexicon: Lexicon) -> Lexicon:
-    """Fit the three numbers of the calibration by Newton's method on counts of (evidence, label), ridge 0.01."""
+    """Fit the three numbers of the calibration by Newton's method on counts of (evidence, label), ridge 0.01.
+
+    Texts labelled toxic in which the lexicon finds nothing are left out: they say nothing about what evidence is worth,
+    and as outliers they would flatten the curve for all others.
+    """
     shared = examples.sparkSession.sparkContext.broadcast(lexicon)
 
     def gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -191,7 +211,7 @@ def _calibrated(examples: DataFrame, lexicon: Lexicon) -> Lexicon:
             yield pd.DataFrame({"a": [x for x, _ in found], "b": [y for _, y in found], "label": batch["label"].to_numpy()})
 
     # As many rows as the bounded sample at most.
-    rows = examples.mapInPandas(gather, "a double, b double, label int").groupBy(
+    rows = examples.mapInPandas(gather, "a double, b double, label int").filter("a > 0 OR label = 0").groupBy(
         F.round("a", 3).alias("a"), F.round("b", 3).alias("b"), "label"
     ).agg(F.count("*").alias("n")).collect()
     rows.sort(key=lambda r: (r["a"], r["b"], r["label"]))

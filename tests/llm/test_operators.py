@@ -347,6 +347,39 @@ def test_toxic_words_are_found_through_disguise(spark):
     assert excused.score(f"{base} idiot proof {base}") < 0.5 < excused.score(f"{base} idiot {base}")
 
 
+def test_exceptions_cover_just_what_lies_in_them():
+    entries = {" bad": 2.0, " bad ": 3.0, " worse ": 1.0}
+    exceptions = [" bad luck ", " badge ", " luck badge ", " very bad "]
+    matcher = toxicity.Matcher(toxicity.Lexicon(entries, exceptions))
+    rng = random.Random(5)
+    for n in range(200):
+        text = " ".join(rng.choice("bad luck badge worse very fine".split()) for _ in range(n % 25))
+        folded = toxicity.fold(text)
+        excused = {k for x in exceptions for k in range(len(folded)) if folded.startswith(x, k)
+                   for k in range(k, k + len(x) - 1)}
+        hits = {}
+        for entry, weight in entries.items():
+            for k in range(len(folded)):
+                if folded.startswith(entry, k) and k not in excused:
+                    hits[k] = max(hits.get(k, 0.0), weight)
+        top, total = matcher.evidence(text)
+        assert top == max(hits.values(), default=0.0), text
+        assert total == pytest.approx(sum(hits.values()) / np.log(np.e + len(text.split()))), text
+    # Many exceptions and hits in one long text.
+    assert matcher.evidence("bad luck bad fine " * 50_000)[0] == 3.0
+
+
+def test_unexplained_labels_do_not_flatten_the_calibration(spark):
+    rows = [(prose(n, 60) + (" idiot" if n >= 200 else ""), int(n >= 200)) for n in range(240)]
+    noise = [(prose(n, 60), 1) for n in range(1000, 1006)]
+    schema = "text string, label int"
+    plain = toxicity.fit(spark.createDataFrame(rows, schema))
+    noisy = toxicity.fit(spark.createDataFrame(rows + noise, schema))
+    for lexicon in (plain, noisy):
+        matcher = toxicity.Matcher(lexicon)
+        assert matcher.score(prose(5, 60)) < 0.05 and matcher.score(prose(5, 60) + " idiot") >= 0.7
+
+
 def test_rates_meet_the_targets(spark):
     rng = random.Random(3)
     cells = [(q, t, rng.randrange(1, 5000)) for q in (2, 40, 95, 99) for t in (0, 5, 97)]
