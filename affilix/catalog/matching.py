@@ -302,17 +302,30 @@ def _labelled_segments(spark, sf):
     return parts.select("segment", (F.col("pos") == 0).cast("double").alias("label")).distinct()
 
 
-@query()
+@query(f"WITH {_CUSTOMERS}, {S.parts('strings')} SELECT DISTINCT segment, pos = 0 AS institute FROM parts")
 def ml_scores(spark, sf):
+    """What a fitted model takes for institutes. The labels can be told apart, so it has to agree with all of them."""
     labelled = materialize(_labelled_segments(spark, sf), "labelled")
     model = fit_segment_model(labelled)
     scored = model_scorer(model)(labelled.select("segment").distinct())
-    return scored.select("segment", F.round("prob", 4).alias("prob"))
+    return scored.select("segment", (F.col("prob") > 0.5).alias("institute"))
+
+
+@query(f"""
+    WITH {_CUSTOMERS}, {S.parts('strings')}
+    SELECT pos, CAST(pos = 0 AS DOUBLE) AS prediction, count(*) AS n FROM parts GROUP BY pos
+""")
+def fit_parts_scorer(spark, sf):
+    """A model fitted on the distinct parts, and what it says of every part of every string."""
+    model = fit_segment_model(materialize(_labelled_segments(spark, sf), "labelled"), iterations=10)
+    parts = segments(T.customer_strings(spark, sf).select("affiliate").distinct())
+    judged = model.transform(parts).select(F.col("pos").cast("long").alias("pos"), "prediction")
+    return judged.groupBy("pos", "prediction").agg(F.count("*").alias("n"))
 
 
 @query()
 def fit_scorer(spark, sf):
-    """Quality model on labelled documents, and how often it agrees with the labels."""
+    """Quality model on labelled documents, and how often it agrees with the labels. Not always, hence without SQL."""
     documents = T.table(spark, sf, "documents").select("doc_id", clean(F.col("text")).alias("segment"))
     labelled = materialize(
         documents.join(T.table(spark, sf, "labels"), "doc_id")
