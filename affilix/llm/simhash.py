@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
-from itertools import combinations
+from itertools import combinations, islice
 
 import numpy as np
 import pandas as pd
@@ -58,7 +58,7 @@ def fingerprint_of(text: bytes) -> int:
     ones = np.zeros(64, dtype=np.int64)
     for start in range(0, total, _SLICE):
         part = np.fromiter(
-            (digest(s, SEED) for s, _ in zip(shingles, range(min(_SLICE, total - start)))), dtype=np.uint64
+            (digest(s, SEED) for s in islice(shingles, min(_SLICE, total - start))), dtype=np.uint64
         )
         bits = np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         ones += np.count_nonzero(bits, axis=0) if len(bits) < 256 else np.add.reduce(bits, axis=0, dtype=np.uint32)

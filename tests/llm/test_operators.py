@@ -95,6 +95,20 @@ def test_simhash_of_nothing(spark):
     assert simhash.keep_one(docs_of(spark, [])).count() == 0
 
 
+def test_no_shingle_is_lost_between_slices(monkeypatch):
+    """Few shingles in many slices, so that votes are near half and one that is left out shows."""
+    monkeypatch.setattr(simhash, "_SLICE", 4)
+    texts = [prose(seed, n) for n in range(1, 40) for seed in range(5)]
+    assert [simhash.fingerprint_of(t.encode()) for t in texts] == [brute.fingerprint(t) for t in texts]
+
+
+def test_texts_of_more_than_one_slice():
+    for n in (32_770, 32_771, 65_540):
+        for seed in range(4):
+            text = prose(seed, n)
+            assert simhash.fingerprint_of(text.encode()) == brute.fingerprint(text)
+
+
 def test_dense_fingerprints_stay_complete_when_tiled(spark):
     """Chains of one to three flipped bits, with tiles far smaller than the meeting places."""
     rng = random.Random(5)
