@@ -107,6 +107,65 @@ LABELLED = """
 150 1 20 0 12 100 0 0 1
 33 6 52 0 18 0 0 0 1
 75 0 11 100 2 100 0 0 1
+12 0 4 100 60 0 1 0 1
+8 0 1 100 90 0 1 0 1
+3 0 2 100 80 0 1 0 1
+60 0 5 100 70 0 1 0 1
+200 0 6 100 40 0 1 0 1
+150 0 5 100 110 0 1 0 1
+35 0 3 100 5 100 1 0 1
+25 0 7 100 6 100 1 0 1
+14 0 2 100 3 100 1 0 1
+90 2 4 100 0 0 1 0 1
+18 0 1 100 0 0 1 0 1
+6 0 8 100 5 0 1 0 1
+4 100 70 0 90 0 1 0 1
+2 100 45 0 60 0 1 0 1
+7 100 30 0 120 0 1 0 1
+9 100 40 0 35 0 1 0 1
+6 100 12 0 6 100 1 0 0
+120 0 6 100 80 0 0 0 1
+60 0 4 100 50 0 0 0 1
+35 0 3 100 40 0 0 0 1
+200 0 5 100 9 100 0 0 1
+6 0 3 100 90 0 0 0 1
+12 0 5 100 60 0 0 0 1
+4 0 90 0 70 0 0 0 1
+3 0 55 0 65 0 0 0 1
+12 0 60 0 50 0 0 0 1
+6 0 45 0 120 0 0 0 1
+15 0 80 0 40 0 0 0 1
+18 0 33 0 28 0 0 0 1
+10 0 40 0 30 0 0 0 1
+5 0 30 0 150 0 0 0 1
+20 0 120 0 60 0 0 0 1
+8 0 60 0 9 0 0 0 1
+9 0 8 0 10 0 0 0 1
+10 0 9 0 70 0 0 0 1
+5 0 0 0 80 0 0 0 1
+9 0 0 0 60 0 0 0 1
+5 100 60 0 70 0 0 0 1
+3 100 90 0 45 0 0 0 1
+5 100 3 100 60 0 0 0 0
+2 100 1 100 120 0 0 0 0
+7 100 9 100 45 0 0 0 0
+10 90 12 100 80 0 0 0 0
+25 80 6 100 40 0 0 0 0
+4 100 0 0 6 100 0 0 0
+3 100 4 100 5 100 0 0 0
+9 75 3 100 35 0 0 0 0
+6 100 0 0 90 0 0 0 0
+16 60 5 80 150 0 0 0 0
+5 100 7 100 6 100 1 0 0
+3 100 4 100 0 0 1 0 0
+30 50 60 0 40 0 1 0 1
+16 0 80 0 0 0 0 0 1
+14 0 90 0 4 0 0 0 1
+13 0 60 0 7 0 0 0 1
+18 0 40 0 2 100 0 0 1
+70 0 6 100 12 0 0 0 1
+40 0 4 100 8 100 0 0 1
+26 0 5 100 14 0 0 0 1
 """
 
 _BLOCKS = frozenset(
@@ -233,7 +292,7 @@ class Tree(NamedTuple):
         return node.label
 
 
-def train(rows: list[tuple[float, ...]], depth: int = 6, least: int = 5) -> Tree:
+def train(rows: list[tuple[float, ...]], depth: int = 8, least: int = 2) -> Tree:
     """A tree grown by Gini impurity on rows whose last value is the label, no leaf below ``least`` rows; of equal splits
     the first feature wins."""
     labels = [r[-1] for r in rows]

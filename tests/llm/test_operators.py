@@ -184,6 +184,39 @@ def test_html_main_text(spark):
 
 # 3 Chat
 
+def words_of(n: int, word: str = "text") -> str:
+    return " ".join(f"{word}{k}" for k in range(n))
+
+
+def test_text_beside_links_is_kept():
+    """A nav right before an article, linked headings, a link-only item: what follows them is text all the same."""
+    tree = html_text.train(html_text.labelled_table())
+    nav = "<nav><ul><li><a href=/a>One</a></li><li><a href=/b>Two</a></li></ul></nav>"
+    for n in (1, 3, 12, 60, 200):
+        own = words_of(n)
+        assert own in html_text.main_text(f"{nav}<article><h1>{own}</h1><p>{words_of(50, 'w')}</p></article>", tree)
+        assert html_text.main_text(f"{nav}<article><p>{own}</p></article>", tree) == own
+    page = (
+        f"<article><p>{words_of(60)}</p><h2><a href=#x>Linked heading</a></h2><p>{words_of(90, 'b')}</p>"
+        f"<ul><li><a href=/y>Only a link</a></li></ul><p>{words_of(30, 'c')}</p></article>"
+    )
+    got = html_text.main_text(page, tree).split("\n")
+    assert got[:3] == [words_of(60), "Linked heading", words_of(90, "b")] and got[-1] == words_of(30, "c")
+
+
+def test_page_without_article():
+    tree = html_text.train(html_text.labelled_table())
+    parts = [words_of(5, "h"), words_of(80, "a"), words_of(12, "s"), words_of(60, "b"), words_of(15, "e")]
+    body = f"<h1>{parts[0]}</h1>" + "".join(f"<p>{p}</p>" for p in parts[1:])
+    menu = "<div><a href=/a>One</a></div><div><a href=/b>Two</a></div>"
+    page = f"<body>{menu}{body}<footer>us</footer></body>"
+    assert html_text.main_text(page, tree).split("\n") == parts
+    for n in (30, 60, 200):
+        for after in range(1, 40):
+            row = (n, 0, 3, 100, after, 100, 0, 0)
+            assert tree.classify(row) == 1, row
+
+
 def test_chat_round_trip(spark):
     said = r"\### Assistant: </turn> ok"
     rows = [
