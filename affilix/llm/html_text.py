@@ -188,9 +188,23 @@ _RAW = re.compile(
     r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|iframe|object|svg)\b[^>]*>.*?(?:</\1\s*>|\Z)|<!\[CDATA\[|<[!?][^>]*>",
     re.S | re.I,
 )
-_TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""")
-_NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
-_HIDDEN = re.compile(r"""\bhidden\b(?!\s*=\s*["']?false)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
+#: A quote opens a value only right after the ``=`` of an attribute.
+_TAG = re.compile(
+    r"""<(/?)([a-zA-Z][^\s/>]*+)((?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)?+)?+)*+)>"""
+)
+_ATTRIBUTE = re.compile(r"""([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>"'][^\s>]*+))?+)?+""")
+_UNSEEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.I)
+#: Words that make a class name speak of a state or of something else on the page (``has-sidebar``, ``search-open``).
+_STATES = frozenset(
+    "has is no not with without show hide hidden open opened closed active enabled disabled visible left right".split()
+)
+#: Names of :data:`_NAMES` too general to say by themselves, after another word, what an element is (``text-widget``).
+_GENERAL = frozenset("widget form notice alert search dialog legal share social related recommended respond aside".split())
+#: After one of :data:`_NAMES` these are parts of the same thing (``ad-slot``, ``comment-list``).
+_PARTS = frozenset(
+    "slot list links link items item box block container wrapper wrap area section panel inner bar button buttons posts "
+    "articles main top bottom unit text notice banner form".split()
+)
 
 
 class Block(NamedTuple):
@@ -200,14 +214,35 @@ class Block(NamedTuple):
     marked: int
 
 
+def _named(token: str) -> str:
+    """Which of :data:`_NAMES`, or ``header``, a class, id or role says an element is; empty if none."""
+    words = re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", token).lower())
+    if not words or not _STATES.isdisjoint(words[1:] if len(words) == 1 else words):
+        return ""
+    last = words[-1]
+    if last == "header" or (last in _NAMES and (len(words) == 1 or last not in _GENERAL)):
+        return last
+    return words[0] if words[0] in _NAMES and last in _PARTS else ""
+
+
 def _is_marked(tag: str, attributes: str, inside: bool) -> bool:
+    """Whether an element holds something else than main text. What the body, a main or an article is called says nothing
+    about its text."""
     if tag in _OTHER or (tag == "header" and not inside):
         return True
-    if not attributes.strip():
+    if tag == "body" or not attributes.strip():
+        return False
+    has: dict[str, str] = {}
+    for name, *values in _ATTRIBUTE.findall(attributes):
+        has.setdefault(name.lower(), html.unescape("".join(values)))
+    if has.get("hidden", "false").strip().lower() != "false" or has.get("aria-hidden", "").strip().lower() == "true":
+        return True
+    if _UNSEEN.search(has.get("style", "")):
+        return True
+    if tag in _CONTENT:
         return False
-    named = " ".join(x for found in _NAMED.findall(attributes) for x in found)
-    words = set(re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", named).lower()))
-    return bool(words & _NAMES) or (not inside and "header" in words) or bool(_HIDDEN.search(attributes))
+    names = {_named(token) for key in ("class", "id", "role") for token in has.get(key, "").split()}
+    return bool(names & _NAMES) or (not inside and "header" in names)
 
 
 def blocks(page: str) -> list[Block]:

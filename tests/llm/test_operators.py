@@ -217,6 +217,30 @@ def test_page_without_article():
             assert tree.classify(row) == 1, row
 
 
+@pytest.mark.parametrize("start", [
+    '<article style="overflow: hidden">', '<article class="post share related">', '<div class="overflow-hidden">',
+    '<div data-hidden="0">', "<div hidden=false>", '<body class="has-sidebar search">', '<div id="page" class="search-open">',
+    '<main class="no-comments sidebar">', '<div class="elementor-widget"><article>', "<p title=Bob's>", '<p title=5">',
+    '<p title = "a > b">', "<a href=x?y='1></a>",
+])
+def test_attributes_that_hide_nothing(start):
+    tree = html_text.train(html_text.labelled_table())
+    one, two = words_of(40), words_of(50, "it's")
+    assert html_text.main_text(f"{start}<p>{one}</p><p>{two} \"so\"</p>", tree) == f'{one}\n{two} "so"'
+
+
+@pytest.mark.parametrize("start", [
+    "<div hidden>", "<article hidden>", '<div aria-hidden="true">', "<div style='color:red; display: none'>",
+    '<div class="x sidebar">', '<div class="site-nav">', '<div id=comments>', '<div class="ad-slot">', '<div role=navigation>',
+    '<div class="cookie-notice">', '<section class="comment-list">', '<div class="pageHeader">', '<div class="related-posts">',
+])
+def test_attributes_that_mark(start):
+    tree = html_text.train(html_text.labelled_table())
+    end = "</" + start[1:].split()[0] + ">"
+    page = f"<p>{words_of(40)}</p>{start}<p>{words_of(50, 'no')}</p>{end}<p>{words_of(45, 'c')}</p>"
+    assert html_text.main_text(page, tree) == words_of(40) + "\n" + words_of(45, "c")
+
+
 def test_chat_round_trip(spark):
     said = r"\### Assistant: </turn> ok"
     rows = [
