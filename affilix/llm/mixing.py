@@ -134,18 +134,19 @@ def fit_rates(cells: DataFrame, targets: dict[str, float], steps: int = STEPS) -
 
 def mix(
     docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, keep: list[str] | None = None,
-    learn: Column | None = None,
+    learn: Column | None = None, domains: Domains | None = None,
 ) -> DataFrame:
     """The columns ``keep`` of every row with ``tokens``, ``p_good, p_low, p_toxic``, ``rate`` and ``copies``.
 
     ``rate`` says how often a document is to be read; ``copies`` is that as a whole number, rounded up or down by a hash
     of the id. Texts that are null or empty have no tokens. Nothing is dropped; repeated rows and null ids stay. Columns
-    of ``docs`` with the names of the results are replaced. ``learn`` says which labels may be learned from.
+    of ``docs`` with the names of the results are replaced. ``learn`` says which labels may be learned from,
+    ``domains`` is a classifier to use instead of one learned from ``docs`` and ``labels``.
     """
     keep = keep or ["doc_id"]
     added = ["tokens", "quality", "toxic", "_found", *[f"p_{d}" for d in DOMAINS], "rate", "copies"]
     keep = [c for c in keep if c not in added]
-    classify = memberships(docs, fit_domains(docs, labels, F.lit(True) if learn is None else learn))
+    classify = memberships(docs, domains or fit_domains(docs, labels, F.lit(True) if learn is None else learn))
     found = materialize(docs.select(*keep, classify("text").alias("_found")).select(*keep, "_found.*"), "memberships")
     cells = materialize(
         found.groupBy("quality", "toxic").agg(F.sum("tokens").alias("tokens")), "mixing_cells"

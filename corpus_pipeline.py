@@ -33,9 +33,15 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document with its domain probabilities, its rate and the copies to read of it."""
+    """Every document with its domain probabilities, its rate and the copies to read of it.
+
+    Domains are learned from the table the pipeline starts from, since hardly any toxic example is left of ``docs``. What
+    was taken out as toxic is not asked for again.
+    """
     learn = ~held_out(F.col("doc_id"), toxicity.PARTS, toxicity.HELD_OUT)
-    return mixing.mix(docs, table(spark, sf_dir, "labels"), keep=docs.columns, learn=learn)
+    labels = table(spark, sf_dir, "labels")
+    domains = mixing.fit_domains(table(spark, sf_dir, "documents"), labels, learn)
+    return mixing.mix(docs, labels, {**mixing.TARGETS, "toxic": 0.0}, keep=docs.columns, learn=learn, domains=domains)
 
 
 STAGES = [

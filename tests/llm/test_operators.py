@@ -471,6 +471,18 @@ def test_held_out_is_the_remainder_of_the_checksum(spark):
 
 # Pipeline
 
+def test_domains_of_the_pipeline_are_learned_before_toxic_texts_go(spark, tmp_path):
+    rows = [(n, prose(300 + n, 60) + (" idiot moron" if n % 4 == 0 else ""), "en", "s", 400) for n in range(121)]
+    docs_of(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(n, n % 2, int(n % 4 == 0)) for n in range(120)], "doc_id long, quality int, toxic int").write.parquet(
+        str(tmp_path / "labels.parquet"))
+    left = docs_of(spark, [r for r in rows if r[0] % 4 or r[0] == 120])
+    got = {r["doc_id"]: r for r in corpus_pipeline.mix_domains(spark, left, str(tmp_path)).collect()}
+    assert got[120]["p_toxic"] > 0.5 and got[120]["p_toxic"] > max(r["p_toxic"] for n, r in got.items() if n != 120)
+    toxic = [r["tokens"] * r["p_toxic"] for r in got.values()]
+    assert sum(t * r["rate"] for t, r in zip(toxic, got.values())) < sum(toxic)
+
+
 def test_pipeline_stages(spark, tmp_path):
     passage = prose(11, 60)
     rows = awkward_rows() + [
