@@ -464,6 +464,23 @@ def test_rates_meet_the_targets(spark):
     assert np.allclose(got / total, [0.8, 0.15, 0.05], atol=2e-3) and min(r["rate"] for r in fitted) >= 0
 
 
+def test_small_probabilities_count(spark, caplog):
+    """Each text is toxic by 0.4 %, in cell 0 of the grid; and what a target misses is told."""
+    cells = spark.createDataFrame(
+        [(90, 0, 1000, 896.4, 99.6, 4.0), (10, 0, 1000, 99.6, 896.4, 4.0)],
+        "quality int, toxic int, tokens long, in_good double, in_low double, in_toxic double",
+    )
+    with caplog.at_level("WARNING"):
+        fitted = mixing.fit_rates(cells, {"good": 0.8, "low": 0.18, "toxic": 0.02}).collect()
+    assert "target of toxic not met" in caplog.text
+    mixed = spark.createDataFrame(
+        [(r["tokens"], *(r[f"in_{d}"] / r["tokens"] for d in mixing.DOMAINS), r["rate"]) for r in fitted],
+        "tokens long, p_good double, p_low double, p_toxic double, rate double",
+    )
+    left = {r["domain"]: r for r in mixing.misses(mixed, {"good": 0.8, "low": 0.18, "toxic": 0.02}).collect()}
+    assert left["toxic"]["reached"] > 0 and left["toxic"]["miss"] < -0.01
+
+
 def test_held_out_is_the_remainder_of_the_checksum(spark):
     got = {r["id"]: r["h"] for r in spark.range(200).select("id", held_out(F.col("id"), 3, 1).alias("h")).collect()}
     assert got == {n: zlib.crc32(str(n).encode()) % 3 == 1 for n in range(200)}
