@@ -8,12 +8,21 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from affilix.session import shared_root
+
 SPACE = r"[\x20\x09-\x0D]"
 CHUNK_BYTES = 1 << 20
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
 
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    """Give ``DataFrame.checkpoint`` the shared folder of :func:`shared_root` where the session names none."""
+    context = spark.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(f"{shared_root(spark)}/checkpoints")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -75,4 +75,25 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM d LEFT JOIN p ON p.doc_id = d.doc_id LEFT JOIN q ON q.doc_id = d.doc_id
 """
 
-ORACLES = {"op3_chat_format": CHAT_FORMAT, "op4_secret_scan": SECRET_SCAN, "op8_decontaminate": DECONTAMINATE}
+_WHITE = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+LINE_DEDUP = f"""
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+l AS (SELECT doc_id, ls, unnest(ls) AS line, unnest(range(1, len(ls) + 1)) AS pos FROM d),
+k AS (
+  SELECT doc_id, pos, translate(trim(line, {_WHITE}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l
+),
+c AS (SELECT doc_id, pos, key FROM k WHERE length(key) >= 20),
+s AS (SELECT key, count(DISTINCT doc_id) AS n, max(doc_id) AS top FROM c GROUP BY key),
+x AS (SELECT c.doc_id, c.pos FROM c JOIN s USING (key) WHERE s.n >= 3 AND c.doc_id IS DISTINCT FROM s.top),
+o AS (
+  SELECT l.doc_id, count(*) AS n_lines, count(x.pos) AS n_dropped,
+    coalesce(string_agg(l.line, chr(10) ORDER BY l.pos) FILTER (WHERE x.pos IS NULL), '') AS kept
+  FROM l LEFT JOIN x ON x.doc_id = l.doc_id AND x.pos = l.pos GROUP BY l.doc_id
+)
+SELECT doc_id, CAST(n_lines AS BIGINT) AS n_lines, CAST(n_dropped AS BIGINT) AS n_dropped, sha256(kept) AS kept_sha256 FROM o
+"""
+
+ORACLES = {"op3_chat_format": CHAT_FORMAT, "op4_secret_scan": SECRET_SCAN, "op8_decontaminate": DECONTAMINATE,
+    "op12_line_dedup": LINE_DEDUP,
+}
