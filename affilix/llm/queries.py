@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from affilix.llm import (
-    chat_format, decontamination, html_text, language_id, line_dedup, mixing, quality_classifier, quality_rules, secret_scan, simhash,
+    chat_format, decontamination, html_text, language_id, line_dedup, mixing, periodic_runs, quality_classifier, quality_rules, secret_scan, simhash,
     toxicity,
 )
 from affilix.llm.common import held_out, table
@@ -74,9 +74,14 @@ def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.detect(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_simhash, op2_html_text, op3_chat_format, op4_secret_scan, op5_toxicity, op6_language_id, op7_mixing,
     op8_decontaminate, op9_quality_rules, op10_quality_classifier, op12_line_dedup,
+    op13_periodic_runs,
 )}
 
 
