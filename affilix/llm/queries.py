@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from affilix.llm import (
-    chat_format, decontamination, html_text, language_id, line_dedup, mixing, periodic_runs, quality_classifier, quality_rules, secret_scan, simhash,
+    chat_format, decontamination, html_text, language_id, line_dedup, mixing, periodic_runs,
+    token_alignment, quality_classifier, quality_rules, secret_scan, simhash,
     toxicity,
 )
 from affilix.llm.common import held_out, table
@@ -69,6 +70,10 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align(table(spark, sf_dir, "documents"))
+
+
 def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -80,7 +85,7 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_simhash, op2_html_text, op3_chat_format, op4_secret_scan, op5_toxicity, op6_language_id, op7_mixing,
-    op8_decontaminate, op9_quality_rules, op10_quality_classifier, op12_line_dedup,
+    op8_decontaminate, op9_quality_rules, op10_quality_classifier, op11_token_alignment, op12_line_dedup,
     op13_periodic_runs,
 )}
 
