@@ -6,11 +6,12 @@ from pyspark.sql import functions as F
 
 from affilix.catalog import sql as S
 from affilix.catalog import tables as T
-from affilix.catalog.register import query
+from affilix.catalog.register import ORACLES, query
 from affilix.functions.markup import extract_items, plain_text
 from affilix.operators.extraction import extract, html_addresses, json_affiliations, xml_affiliations, yield_report
 from affilix.plans.collect import collect
-from affilix.plans.resolve import attach_cached, resolve
+from affilix.plans.resolve import attach_cached, resolve, resolve_in_runs
+from affilix.session import scratch_path
 
 _UL = r"(?s)<ul>(.*?)</ul>"
 _LI = r"(?s)<li>(.*?)</li>"
@@ -205,6 +206,17 @@ def resolve_e2e(spark, sf):
     return resolve(T.papers(spark, sf), institutes, T.supplier_addresses(spark, sf), T.scorer(spark, sf))
 
 
+@query(ORACLES["resolve_e2e"])
+def resolve_two_runs(spark, sf):
+    """resolve_e2e in two runs: papers of even and of odd checksum, the second run with the state of the first."""
+    institutes = T.registry(T.suppliers(spark, sf))
+    papers, addresses, scorer = T.papers(spark, sf), T.supplier_addresses(spark, sf), T.scorer(spark, sf)
+    even = F.crc32(F.col("cord_uid").cast("binary")) % 2 == 0
+    state = scratch_path(spark, "resolve_state")
+    resolve_in_runs(papers.filter(even), institutes, addresses, scorer, save_state=state)
+    return resolve_in_runs(papers.filter(~even), institutes, addresses, scorer, state=state)
+
+
 @query("""
     SELECT CAST(doc_id AS VARCHAR) AS cord_uid, CASE WHEN quality = 1 THEN 'A ' || source ELSE 'B ' || lang END AS list
     FROM documents JOIN labels USING (doc_id) WHERE quality IS NOT NULL OR toxic = 1

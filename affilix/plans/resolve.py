@@ -96,3 +96,64 @@ def resolve(
 def attach_cached(papers: DataFrame, cache: DataFrame) -> DataFrame:
     """The same result when nothing is left to resolve: normalise, then join the cache."""
     return attach_papers(affiliation_rows(papers), cache)
+
+
+def resolve_in_runs(
+    papers: DataFrame,
+    institutes: DataFrame,
+    addresses: DataFrame,
+    scorer: Scorer,
+    state: str | None = None,
+    save_state: str | None = None,
+    *,
+    gazetteer: DataFrame | None = None,
+    index: SearchIndex | None = None,
+    threshold: float = THRESHOLD,
+    top_k: int = TOP_K,
+    cascade: bool = False,
+) -> DataFrame:
+    """The rows of ``papers`` and of every run whose state ``state`` holds, as one full run over all of them gives.
+
+    A run keeps, below ``save_state``, three tables: its affiliation rows, the description (institute part, country,
+    city) of every string, and the search hits of every query. Both are functions of one string or one query alone, so a
+    later run computes them for new strings and new queries only and reads the rest. Term weights depend on all strings,
+    and with them the classes of neighbours and their votes; these are computed again over the strings of all runs, so
+    a new string can change the answer of an old one, as it would in a full run. A plain cache of answers cannot.
+    """
+    spark = papers.sparkSession
+    rows = affiliation_rows(papers)
+    old_described = old_hits = None
+    if state is not None:
+        rows = rows.unionByName(spark.read.parquet(f"{state}/rows"))
+        old_described = spark.read.parquet(f"{state}/described")
+        old_hits = spark.read.parquet(f"{state}/hits")
+    rows = materialize(rows, "rows")
+    strings = materialize(distinct_affiliations(rows), "strings")
+    places = build_gazetteer(institutes) if gazetteer is None else gazetteer
+    new_strings = strings if old_described is None else strings.join(old_described, "affiliate", "left_anti")
+    described = describe_strings(new_strings, places, scorer)
+    if old_described is not None:
+        described = described.unionByName(old_described.join(strings, "affiliate", "left_semi"))
+    described = materialize(described, "described")
+
+    asked = described.filter("extracted <> ''").select(
+        class_of(F.col("affiliate")).alias("class_id"), F.col("extracted").alias("institute"), "country", "city"
+    ).filter("class_id IS NOT NULL")
+    query = F.struct("institute", "country", "city").alias("query_id")
+    wanted = asked.select("institute", "country", "city").distinct()
+    if old_hits is not None:
+        wanted = wanted.join(old_hits.select(F.col("query_id.*")).distinct(), ["institute", "country", "city"], "left_anti")
+    hits = search_join(wanted, index or build_index(institutes), top_k, cascade).select(query, "inst_id", "score")
+    if old_hits is not None:
+        hits = hits.unionByName(old_hits)
+    hits = materialize(hits, "hits")
+
+    found = neighbours(strings, threshold=threshold)
+    best = materialize(best_entry(class_votes(asked.select("class_id", query), hits, found.pairs)), "best")
+    columns = ["affiliate", "grid_id", *schemas.ADDRESS_COLUMNS]
+    resolved = materialize(attach_address(attach_best(strings, best), addresses).select(*columns), "resolved")
+    if save_state is not None:
+        rows.write.parquet(f"{save_state}/rows")
+        described.write.parquet(f"{save_state}/described")
+        hits.write.parquet(f"{save_state}/hits")
+    return attach_papers(rows, resolved)

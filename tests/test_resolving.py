@@ -139,3 +139,29 @@ def test_saved_cache_is_read_again(spark, inputs, tmp_path):
     rows = papers(spark, ("p1", ["Alpha University, Paris, France"]))
     first = result(resolve(rows, *inputs, save_cache=str(tmp_path / "cache")))
     assert result(resolve(rows, *inputs, cache=spark.read.parquet(str(tmp_path / "cache")))) == first
+
+
+def test_two_runs_answer_as_one(spark, inputs, tmp_path):
+    """The second run reads the state of the first and answers as one run over both; strings meet across runs."""
+    from affilix.operators.similarity import class_of, neighbours
+    from affilix.plans.resolve import resolve_in_runs
+
+    first = papers(
+        spark, ("p1", ["Alpha University, Paris, France"]), ("p2", ["Alpha College, Boston, USA"]),
+        ("p3", ["Beta Institute of Physics Department, Leeds"]), ("p4", None),
+    )
+    second = papers(
+        spark, ("p5", ["Alpha University Paris France"]), ("p6", ["Beta Institute of Physics, Department Leeds", ""]),
+        ("p7", ["Alpha College Boston, USA"]), ("p1", ["Alpha University, Paris, France"]),
+    )
+    state = str(tmp_path / "state")
+    resolve_in_runs(first, *inputs, save_state=state)
+    got = resolve_in_runs(second, *inputs, state=state)
+    whole = resolve(first.unionByName(second), *inputs)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, whole.collect()), key=str)
+    assert got.count() == whole.count() == 10
+    # Strings of the two runs fall into one class: the second run's copies count in the first run's weights.
+    texts = ["alpha university, paris, france", "alpha university paris france"]
+    strings = spark.createDataFrame([(t,) for t in texts], "affiliate STRING")
+    assert strings.select(class_of(F.col("affiliate")).alias("c")).distinct().count() == 1
+    assert neighbours(strings).classes.first().copies == 2
