@@ -25,15 +25,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import regex
+import re
 from pyspark.sql import DataFrame
 
 from affilix.llm.common import chunks, mix
 
 MIN_LENGTH = 24
 MIN_EXPONENT = 3
-DIRECT = 4
-WORD = regex.compile(r"[^\x20\x09-\x0D]+")
+DIRECT = 16
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
 RESULT = (
     "doc_id long, n_runs long, start long, length long, period long, exponent_milli long, runs_sha256 string, "
     "collapsed_sha256 string"
@@ -96,18 +96,27 @@ class Grammar:
             self.levels.append((False, starts, syms, None, ends))
 
     def lce(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        """For each pair of places, how many symbols from them on are equal."""
+        """For each pair of places, how many symbols from them on are equal.
+
+        Each query climbs: after a step at level ``k`` it tries ``k + 1`` first, and on a difference it goes down level by
+        level; it ends when the words themselves differ. Equal symbols at both places are always a valid step.
+        """
         x, y = x.astype(np.int64).copy(), y.astype(np.int64).copy()
         out = np.zeros(len(x), dtype=np.int64)
+        top = len(self.levels) - 1
+        level = np.full(len(x), min(1, top), dtype=np.int64)
         active = np.flatnonzero((x < self.n) & (y < self.n))
         while len(active):
-            xa, ya = x[active], y[active]
+            xa, ya, la = x[active], y[active], level[active]
             step = np.zeros(len(active), dtype=np.int64)
+            took = np.full(len(active), -1, dtype=np.int64)
             todo = np.arange(len(active))
-            for block, starts, syms, unit, ends in reversed(self.levels):
-                if not len(todo):
-                    break
-                xs, ys = xa[todo], ya[todo]
+            for k in range(int(la.max()), -1, -1):
+                asked = todo[la[todo] >= k]
+                if not len(asked):
+                    continue
+                block, starts, syms, unit, ends = self.levels[k]
+                xs, ys = xa[asked], ya[asked]
                 if block:
                     ix = np.searchsorted(starts, xs, side="right") - 1
                     iy = np.searchsorted(starts, ys, side="right") - 1
@@ -119,11 +128,15 @@ class Grammar:
                     iy = np.minimum(np.searchsorted(starts, ys), len(starts) - 1)
                     ok = (starts[ix] == xs) & (starts[iy] == ys) & (syms[ix] == syms[iy])
                     moved = ends[ix] - xs
-                step[todo[ok]] = moved[ok]
-                todo = todo[~ok]
+                step[asked[ok]] = moved[ok]
+                took[asked[ok]] = k
+                done = np.zeros(len(active), dtype=bool)
+                done[asked[ok]] = True
+                todo = todo[~done[todo]]
             x[active] += step
             y[active] += step
             out[active] += step
+            level[active] = np.minimum(took + 1, top)
             active = active[(step > 0) & (x[active] < self.n) & (y[active] < self.n)]
         return out
 
@@ -196,25 +209,26 @@ def find_runs(docs: list[np.ndarray], min_length: int = MIN_LENGTH, min_exponent
 
 
 def _extend(docs: list[np.ndarray], hard: list, found: list) -> None:
-    """Exact extensions of the candidates that direct comparison could not settle, from one grammar each way."""
-    parts, offsets, vocab = [], [], 0
-    for ids in docs:
-        vocab = max(vocab, int(ids.max()) + 1 if len(ids) else 0)
-    at = 0
-    for d, ids in enumerate(docs):
+    """Exact extensions of the candidates that direct comparison could not settle, from one grammar each way over the
+    texts that have such candidates."""
+    asking = [d for d, (g, _) in enumerate(hard) if len(g)]
+    vocab = max(int(docs[d].max()) + 1 for d in asking)
+    parts, offsets, at = [], [], 0
+    for k, d in enumerate(asking):
         offsets.append(at)
-        parts.append(ids)
-        parts.append(np.array([vocab + d], dtype=np.int64))  # a symbol of its own ends every text
-        at += len(ids) + 1
-    seq = np.concatenate(parts) if parts else np.zeros(0, np.int64)
+        parts.append(docs[d])
+        parts.append(np.array([vocab + k], dtype=np.int64))  # a symbol of its own ends every text
+        at += len(docs[d]) + 1
+    seq = np.concatenate(parts)
     forward, backward = Grammar(seq), Grammar(seq[::-1].copy())
     n = len(seq)
-    gs = np.concatenate([g + offsets[d] for d, (g, _) in enumerate(hard)])
-    qs = np.concatenate([q for _, q in hard])
+    gs = np.concatenate([hard[d][0] + offsets[k] for k, d in enumerate(asking)])
+    qs = np.concatenate([hard[d][1] for d in asking])
     ahead = forward.lce(gs, gs + qs)
     back = backward.lce(n - gs, n - gs - qs)  # reversed places of g - 1 and g + q - 1
     at = 0
-    for d, (g, q) in enumerate(hard):
+    for d in asking:
+        g, q = hard[d]
         k = len(g)
         fg, fq, fa, fb = found[d]
         found[d] = (np.append(fg, g), np.append(fq, q), np.append(fa, ahead[at:at + k]), np.append(fb, back[at:at + k]))
@@ -229,7 +243,7 @@ def _digest(doc_id, words: list[str], runs: np.ndarray) -> tuple:
         np.add.at(marks, runs[:, 0] + runs[:, 2], 1)
         np.add.at(marks, runs[:, 0] + runs[:, 1], -1)
         keep = np.cumsum(marks[:-1]) == 0
-    collapsed = " ".join(w for w, k in zip(words, keep) if k)
+    collapsed = " ".join(words) if keep.all() else " ".join(w for w, k in zip(words, keep) if k)
     best = (None,) * 4
     if len(runs):
         length, period = runs[:, 1], runs[:, 2]
@@ -269,7 +283,8 @@ def _detect(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for k, ws in enumerate(words):
                 order = planted(ids_col[first + k], len(ws))
                 seqs.append(codes[at:at + len(ws)][order])
-                shown.append([ws[i] for i in order.tolist()])
+                shown.append(ws if order[-1:].tolist() == [len(ws) - 1] and np.all(order == np.arange(len(ws)))
+                             else [ws[i] for i in order.tolist()])
                 at += len(ws)
             for k, runs in enumerate(find_runs(seqs)):
                 out.append(_digest(ids_col[first + k], shown[k], runs))
