@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from affilix.catalog import sql as S
 from affilix.catalog import tables as T
-from affilix.catalog.register import query
+from affilix.catalog.register import ORACLES, query
 from affilix.functions.text import clean
 from affilix.operators.gazetteer import build_gazetteer, parse_places
+from affilix.operators.impact_search import block_max_search
 from affilix.operators.retrieval import build_index, load_index, save_index, search_join
 from affilix.operators.segments import (
     best_segments, distinct_segments, fit_segment_model, model_scorer, segments,
@@ -142,6 +143,17 @@ def bm25_top20(spark, sf):
     )
 
 
+@query(ORACLES["bm25_top20"])
+def bm25_top20_blocks(spark, sf):
+    """bm25_top20 through impact-ordered blocks: only blocks whose bound reaches a query's k-th seed score are read."""
+    items = T.table(spark, sf, "benchmark").select("item_id", clean(F.col("text")).alias("institute"))
+    asked = items.select("institute").filter("institute <> ''").distinct().withColumn("query_id", F.col("institute"))
+    hits = block_max_search(asked, build_index(T.document_registry(spark, sf))).withColumnRenamed("query_id", "institute")
+    return items.join(hits, "institute").select(
+        "item_id", F.col("inst_id").alias("doc"), F.round("score", 6).alias("score"), F.col("rank").cast("bigint")
+    )
+
+
 _PARTS = (
     "reg AS (SELECT CAST(p_partkey AS VARCHAR) AS id, p_name, p_type || ' ' || p_name || ' ' || p_brand AS alias, "
     "p_brand, p_type, substr(p_type, 1, 3) AS code FROM part), rows AS ("
