@@ -77,82 +77,89 @@ def _tokenizers(folder: str):
     return _loaded[folder]
 
 
-def _groups_text(a_ids: np.ndarray, a_group: np.ndarray, b_ids: np.ndarray, b_group: np.ndarray, n: int) -> str:
-    a_cut = np.searchsorted(a_group, np.arange(n + 1))
-    b_cut = np.searchsorted(b_group, np.arange(n + 1))
-    a_txt, b_txt = a_ids.astype(str), b_ids.astype(str)
-    return ";".join(
-        ",".join(a_txt[a_cut[g]:a_cut[g + 1]]) + "|" + ",".join(b_txt[b_cut[g]:b_cut[g + 1]]) for g in range(n)
-    )
+def _marked(ids: np.ndarray, group: np.ndarray, names: list, inner: str, last: str) -> list:
+    """Each token's decimal id followed by ``inner`` if the next token is in its group, else ``last``."""
+    same = np.append(group[1:] == group[:-1], False)
+    return [names[i] + (inner if s else last) for i, s in zip(ids.tolist(), same.tolist())]
+
+
+def _chunk(strings: list, a_enc, b_enc, tables, names: list) -> list:
+    """``n_a, n_b, n_groups, n_links, groups digest, link arrays`` of each text of a chunk.
+
+    All tokens of the chunk lie on one line of bytes, each text after the one before, so ends, groups and links are
+    found for the whole chunk at once.
+    """
+    a_bytes, a_len, b_bytes, b_len = tables
+    a_lists, b_lists = [], []
+    for k, s in enumerate(strings):
+        whole = (" " + s).encode()
+        a_list, b_list = a_enc[k].ids, b_enc[k]
+        fine = bool(s) and b"".join([a_bytes[i] for i in a_list]) == whole and b"".join(
+            [b_bytes[i] for i in b_list]) == whole
+        a_lists.append(a_list if fine else [])
+        b_lists.append(b_list if fine else [])
+    n_a = np.array([len(x) for x in a_lists], dtype=np.int64)
+    n_b = np.array([len(x) for x in b_lists], dtype=np.int64)
+    a_ids = np.array([i for x in a_lists for i in x], dtype=np.int64)
+    b_ids = np.array([i for x in b_lists for i in x], dtype=np.int64)
+    a_doc, b_doc = np.repeat(np.arange(len(strings)), n_a), np.repeat(np.arange(len(strings)), n_b)
+    a_end, b_end = np.cumsum(a_len[a_ids]), np.cumsum(b_len[b_ids])
+    cuts = np.intersect1d(a_end, b_end, assume_unique=True)
+    a_group, b_group = np.searchsorted(cuts, a_end), np.searchsorted(cuts, b_end)
+    n_groups = np.bincount(a_doc[np.searchsorted(a_end, cuts)], minlength=len(strings)) if len(cuts) else np.zeros(
+        len(strings), np.int64)
+
+    # Groups text: A ids then B ids of each group, groups in order; one list for the chunk, cut per text.
+    items = _marked(a_ids, a_group, names, ",", "|") + _marked(b_ids, b_group, names, ",", ";")
+    order = np.argsort(np.concatenate([2 * a_group, 2 * b_group + 1]), kind="stable")
+    owner = np.concatenate([a_doc, b_doc])[order]
+    bounds = np.searchsorted(owner, np.arange(len(strings) + 1))
+    ordered = [items[i] for i in order.tolist()]
+
+    # Links: each start finds the other side's token that covers it, by document.
+    a_tok = pd.DataFrame({"doc": a_doc, "at": a_end - a_len[a_ids], "i": np.arange(len(a_ids)), "a": a_ids})
+    b_tok = pd.DataFrame({"doc": b_doc, "at": b_end - b_len[b_ids], "j": np.arange(len(b_ids)), "b": b_ids})
+    a_to_b = pd.merge_asof(a_tok, b_tok, on="at", by="doc", direction="backward")
+    b_to_a = pd.merge_asof(b_tok, a_tok, on="at", by="doc", direction="backward")
+    both = pd.concat([a_to_b[["doc", "i", "j", "a", "b"]], b_to_a[["doc", "i", "j", "a", "b"]]], ignore_index=True)
+    pairs = both.dropna().astype("int64").drop_duplicates(["i", "j"])
+    counted = pairs.groupby(["doc", "a", "b"], sort=True).size().rename("n").reset_index()
+    l_doc, l_a, l_b, l_n = (counted[c].to_numpy() for c in ("doc", "a", "b", "n"))
+    l_bounds = np.searchsorted(l_doc, np.arange(len(strings) + 1))
+
+    out = []
+    for k in range(len(strings)):
+        text = "".join(ordered[bounds[k]:bounds[k + 1]])[:-1]
+        lo, hi = l_bounds[k], l_bounds[k + 1]
+        out.append((
+            int(n_a[k]), int(n_b[k]), int(n_groups[k]), int(l_n[lo:hi].sum()),
+            hashlib.sha256(text.encode()).hexdigest() if text else "",
+            l_a[lo:hi].astype(np.int32), l_b[lo:hi].astype(np.int32), l_n[lo:hi].astype(np.int32),
+        ))
+    return out
 
 
 def _encode(folder: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         a, a_bytes, a_len, b, b_bytes, b_len = _tokenizers(folder)
+        names = [str(i) for i in range(max(len(a_bytes), len(b_bytes)))]
+        tables = (a_bytes, a_len, b_bytes, b_len)
         for batch in batches:
             texts = [None if t is None else t for t in batch["text"]]
-            doc_ids = batch["doc_id"].astype("Int64")
-            hashes = batch["text_hash"].astype("int64").to_numpy()
+            doc_ids = [None if pd.isna(v) else int(v) for v in batch["doc_id"]]
+            hashes = batch["text_hash"].astype("int64").tolist()
             rows = []
             for first, part in chunks([("" if t is None else t).encode() for t in texts]):
                 strings = [x.decode() for x in part]
                 a_enc = a.encode_batch([" " + s for s in strings], add_special_tokens=False)
                 b_enc = b.encode(strings, num_threads=1)
-                tokens, parts = [], []
-                for k, s in enumerate(strings):
-                    whole = (" " + s).encode()
-                    a_ids = np.array(a_enc[k].ids, dtype=np.int64)
-                    b_ids = np.array(b_enc[k], dtype=np.int64)
-                    fine = bool(s) and b"".join(a_bytes[i] for i in a_ids) == whole and b"".join(
-                        b_bytes[i] for i in b_ids) == whole
-                    if not fine:
-                        a_ids = b_ids = np.zeros(0, np.int64)
-                    tokens.append((a_ids, b_ids))
-                    a_end, b_end = np.cumsum(a_len[a_ids]), np.cumsum(b_len[b_ids])
-                    parts.append((
-                        pd.DataFrame({"doc": k, "at": a_end - a_len[a_ids], "a": a_ids}),
-                        pd.DataFrame({"doc": k, "at": b_end - b_len[b_ids], "b": b_ids}),
-                        a_end, b_end,
-                    ))
-                links = _links(parts)
-                for k, (a_ids, b_ids) in enumerate(tokens):
-                    a_end, b_end = parts[k][2], parts[k][3]
-                    cuts = np.intersect1d(a_end, b_end)
-                    groups = _groups_text(
-                        a_ids, np.searchsorted(cuts, a_end), b_ids, np.searchsorted(cuts, b_end), len(cuts)
-                    ) if len(cuts) else ""
-                    mine = links.get(k)
-                    i = first + k
-                    rows.append((
-                        None if pd.isna(doc_ids.iloc[i]) else int(doc_ids.iloc[i]), int(hashes[i]),
-                        len(a_ids), len(b_ids), len(cuts), 0 if mine is None else int(mine["n"].sum()),
-                        hashlib.sha256(groups.encode()).hexdigest() if groups else "",
-                        *(([], [], []) if mine is None else (
-                            mine["a"].to_numpy(np.int32), mine["b"].to_numpy(np.int32), mine["n"].to_numpy(np.int32)
-                        )),
-                    ))
+                for k, found in enumerate(_chunk(strings, a_enc, b_enc, tables, names)):
+                    rows.append((doc_ids[first + k], hashes[first + k], *found))
             yield pd.DataFrame(rows, columns=[c.split()[0] for c in TOKENS.split(", ")])
 
     return run
 
 
-def _links(parts: list) -> dict:
-    """Per document of a chunk: distinct overlapping ``(a, b)`` id pairs and how often each occurs."""
-    a_tok = pd.concat([p[0].assign(i=np.arange(len(p[0]))) for p in parts], ignore_index=True)
-    b_tok = pd.concat([p[1].assign(j=np.arange(len(p[1]))) for p in parts], ignore_index=True)
-    if a_tok.empty or b_tok.empty:
-        return {}
-    a_tok = a_tok.sort_values("at", kind="stable")
-    b_tok = b_tok.sort_values("at", kind="stable")
-    # Tokens tile the same bytes, so the last token of the other side starting at or before a start covers it.
-    a_to_b = pd.merge_asof(a_tok, b_tok, on="at", by="doc", direction="backward")
-    b_to_a = pd.merge_asof(b_tok, a_tok, on="at", by="doc", direction="backward")
-    both = pd.concat([a_to_b[["doc", "i", "j", "a", "b"]], b_to_a[["doc", "i", "j", "a", "b"]]], ignore_index=True)
-    pairs = both.dropna().astype("int64").drop_duplicates(["doc", "i", "j"])
-    counted = pairs.groupby(["doc", "a", "b"], sort=True).size().rename("n").reset_index()
-    return {k: g for k, g in counted.groupby("doc")}
-
-
 def tokens(docs: DataFrame, folder: str = TOKENIZERS) -> DataFrame:
     """One row per input row: both tokenizations' counts, the groups digest and the links as parallel arrays."""
     keyed = docs.select(
