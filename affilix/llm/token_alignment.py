@@ -34,7 +34,9 @@ from affilix.llm.common import chunks
 from affilix.session import materialize
 
 TOKENIZERS = "/opt/tokenizers"
-A_FILE = "byte_bpe_50k.json"
+A_FILE = "byte_bpe_50k.tiktoken"
+# Fixed value: the pre-tokenizing pattern of this byte-level vocabulary, as published with it.
+A_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 B_FILE = "piece_bpe_32k.model"
 BROADCAST_ROWS = 2_000_000
 TOKENS = (
@@ -44,25 +46,20 @@ TOKENS = (
 _loaded: dict = {}
 
 
-def _byte_level_alphabet() -> dict[str, int]:
-    """The byte-level BPE alphabet: printable Latin-1 bytes stand for themselves, the others for 256 upwards."""
-    shown = [*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)]
-    extra = [b for b in range(256) if b not in shown]
-    chars = {chr(b): b for b in shown}
-    chars.update({chr(256 + k): b for k, b in enumerate(extra)})
-    return chars
-
-
 def _tokenizers(folder: str):
     """Both tokenizers and the bytes of every id, loaded once per worker."""
     if folder not in _loaded:
-        import sentencepiece
-        from tokenizers import Tokenizer
+        import base64
 
-        a = Tokenizer.from_file(os.path.join(folder, A_FILE))
-        a.encode_special_tokens = True
-        alphabet = _byte_level_alphabet()
-        a_bytes = [bytes(alphabet[c] for c in (a.id_to_token(i) or "")) for i in range(a.get_vocab_size())]
+        import sentencepiece
+        import tiktoken
+
+        with open(os.path.join(folder, A_FILE), "rb") as ranks_file:
+            ranks = {base64.b64decode(word): int(rank) for word, rank in map(bytes.split, ranks_file)}
+        a = tiktoken.Encoding("byte_bpe", pat_str=A_PATTERN, mergeable_ranks=ranks, special_tokens={})
+        a_bytes = [b""] * (max(ranks.values()) + 1)
+        for word, rank in ranks.items():
+            a_bytes[rank] = word
         b = sentencepiece.SentencePieceProcessor(model_file=os.path.join(folder, B_FILE))
         escaped = re.compile(r"<0x([0-9A-Fa-f]{2})>")
         b_bytes = []
@@ -93,7 +90,7 @@ def _chunk(strings: list, a_enc, b_enc, tables, names: list) -> list:
     a_lists, b_lists = [], []
     for k, s in enumerate(strings):
         whole = (" " + s).encode()
-        a_list, b_list = a_enc[k].ids, b_enc[k]
+        a_list, b_list = a_enc[k], b_enc[k]
         fine = bool(s) and b"".join([a_bytes[i] for i in a_list]) == whole and b"".join(
             [b_bytes[i] for i in b_list]) == whole
         a_lists.append(a_list if fine else [])
@@ -117,14 +114,19 @@ def _chunk(strings: list, a_enc, b_enc, tables, names: list) -> list:
     ordered = [items[i] for i in order.tolist()]
 
     # Links: each start finds the other side's token that covers it, by document.
-    a_tok = pd.DataFrame({"doc": a_doc, "at": a_end - a_len[a_ids], "i": np.arange(len(a_ids)), "a": a_ids})
-    b_tok = pd.DataFrame({"doc": b_doc, "at": b_end - b_len[b_ids], "j": np.arange(len(b_ids)), "b": b_ids})
+    a_tok = pd.DataFrame({"doc": a_doc, "at": a_end - a_len[a_ids], "i": np.arange(len(a_ids))})
+    b_tok = pd.DataFrame({"doc": b_doc, "at": b_end - b_len[b_ids], "j": np.arange(len(b_ids))})
     a_to_b = pd.merge_asof(a_tok, b_tok, on="at", by="doc", direction="backward")
-    b_to_a = pd.merge_asof(b_tok, a_tok, on="at", by="doc", direction="backward")
-    both = pd.concat([a_to_b[["doc", "i", "j", "a", "b"]], b_to_a[["doc", "i", "j", "a", "b"]]], ignore_index=True)
-    pairs = both.dropna().astype("int64").drop_duplicates(["i", "j"])
-    counted = pairs.groupby(["doc", "a", "b"], sort=True).size().rename("n").reset_index()
-    l_doc, l_a, l_b, l_n = (counted[c].to_numpy() for c in ("doc", "a", "b", "n"))
+    b_to_a = pd.merge_asof(b_tok, a_tok.assign(a_at=a_tok["at"]), on="at", by="doc", direction="backward")
+    # A pair found both ways starts at one place on both sides; the second way keeps only A tokens that start before.
+    inside = b_to_a["a_at"].to_numpy(np.float64, na_value=np.inf) < b_to_a["at"].to_numpy()
+    i = np.concatenate([a_to_b["i"].to_numpy(), b_to_a["i"].to_numpy(np.float64, na_value=-1)[inside]]).astype(np.int64)
+    j = np.concatenate([a_to_b["j"].to_numpy(np.float64, na_value=-1), b_to_a["j"].to_numpy()[inside]]).astype(np.int64)
+    real = (i >= 0) & (j >= 0)
+    i, j = i[real], j[real]
+    # Distinct (doc, a, b) with their occurrences; ids below 2**20 and docs of a chunk fit one 64-bit key.
+    key, l_n = np.unique((a_doc[i] << 40) | (a_ids[i] << 20) | b_ids[j], return_counts=True)
+    l_doc, l_a, l_b = key >> 40, (key >> 20) & 0xFFFFF, key & 0xFFFFF
     l_bounds = np.searchsorted(l_doc, np.arange(len(strings) + 1))
 
     out = []
@@ -148,14 +150,16 @@ def _encode(folder: str):
             texts = [None if t is None else t for t in batch["text"]]
             doc_ids = [None if pd.isna(v) else int(v) for v in batch["doc_id"]]
             hashes = batch["text_hash"].astype("int64").tolist()
-            rows = []
             for first, part in chunks([("" if t is None else t).encode() for t in texts]):
                 strings = [x.decode() for x in part]
-                a_enc = a.encode_batch([" " + s for s in strings], add_special_tokens=False)
+                a_enc = a.encode_ordinary_batch([" " + s for s in strings], num_threads=1)
                 b_enc = b.encode(strings, num_threads=1)
-                for k, found in enumerate(_chunk(strings, a_enc, b_enc, tables, names)):
-                    rows.append((doc_ids[first + k], hashes[first + k], *found))
-            yield pd.DataFrame(rows, columns=[c.split()[0] for c in TOKENS.split(", ")])
+                rows = [
+                    (doc_ids[first + k], hashes[first + k], *found)
+                    for k, found in enumerate(_chunk(strings, a_enc, b_enc, tables, names))
+                ]
+                # One chunk of about a megabyte of text at a time leaves the worker, links included.
+                yield pd.DataFrame(rows, columns=[c.split()[0] for c in TOKENS.split(", ")])
 
     return run
 

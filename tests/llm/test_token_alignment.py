@@ -13,7 +13,12 @@ from affilix.llm import token_alignment  # noqa: E402
 
 
 def plain(rows, folder=token_alignment.TOKENIZERS):
-    a, a_bytes, _, b, b_bytes, _ = token_alignment._tokenizers(folder)
+    """The contract's A is the tokenizers file; the operator reads the same vocabulary as tiktoken ranks."""
+    from tokenizers import Tokenizer
+
+    _, a_bytes, _, b, b_bytes, _ = token_alignment._tokenizers(folder)
+    a = Tokenizer.from_file(f"{folder}/byte_bpe_50k.json")
+    a.encode_special_tokens = True
     per_row, held = [], defaultdict(set)
     for doc_id, text in rows:
         s = text or ""
