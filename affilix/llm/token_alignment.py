@@ -39,6 +39,7 @@ A_FILE = "byte_bpe_50k.tiktoken"
 A_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 B_FILE = "piece_bpe_32k.model"
 BROADCAST_ROWS = 2_000_000
+CHUNK = 1 << 18
 TOKENS = (
     "doc_id long, text_hash long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
     "link_a array<int>, link_b array<int>, link_n array<int>"
@@ -147,10 +148,10 @@ def _encode(folder: str):
         names = [str(i) for i in range(max(len(a_bytes), len(b_bytes)))]
         tables = (a_bytes, a_len, b_bytes, b_len)
         for batch in batches:
-            texts = [None if t is None else t for t in batch["text"]]
             doc_ids = [None if pd.isna(v) else int(v) for v in batch["doc_id"]]
             hashes = batch["text_hash"].astype("int64").tolist()
-            for first, part in chunks([("" if t is None else t).encode() for t in texts]):
+            texts = (("" if t is None else t).encode() for t in batch["text"])
+            for first, part in chunks(texts, CHUNK):
                 strings = [x.decode() for x in part]
                 a_enc = a.encode_ordinary_batch([" " + s for s in strings], num_threads=1)
                 b_enc = b.encode(strings, num_threads=1)
@@ -158,7 +159,7 @@ def _encode(folder: str):
                     (doc_ids[first + k], hashes[first + k], *found)
                     for k, found in enumerate(_chunk(strings, a_enc, b_enc, tables, names))
                 ]
-                # One chunk of about a megabyte of text at a time leaves the worker, links included.
+                # Tokens take some hundred times the memory of their text, so only a short chunk of it is open at a time.
                 yield pd.DataFrame(rows, columns=[c.split()[0] for c in TOKENS.split(", ")])
 
     return run

@@ -9,6 +9,8 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 
+import pandas as pd
+
 from affilix.llm import token_alignment  # noqa: E402
 
 
@@ -89,3 +91,13 @@ def test_empty_table_and_extra_columns(spark):
     assert token_alignment.align(empty).count() == 0
     df = spark.createDataFrame([(1, "a b", "x")], "doc_id long, text string, n_a string")
     assert token_alignment.align(df).collect()[0].n_a == 2
+
+
+def test_a_batch_is_encoded_in_short_chunks():
+    """No more than a quarter of a megabyte of text (or one text) has its tokens in memory at a time."""
+    texts = ["some words and more " * 1000] * 40
+    batch = pd.DataFrame({"doc_id": range(40), "text": texts, "text_hash": [7] * 40})
+    parts = list(token_alignment._encode(token_alignment.TOKENIZERS)(iter([batch])))
+    assert max(len(p) for p in parts) * len(texts[0]) <= 1 << 18
+    whole = pd.concat(parts)
+    assert whole["doc_id"].tolist() == list(range(40)) and whole["groups_sha256"].nunique() == 1
