@@ -11,7 +11,7 @@ from affilix.functions.markup import extract_items, plain_text
 from affilix.operators.extraction import extract, html_addresses, json_affiliations, xml_affiliations, yield_report
 from affilix.plans.collect import collect
 from affilix.plans.resolve import attach_cached, resolve, resolve_in_runs
-from affilix.session import scratch_path
+from affilix.session import dealt, scratch_path
 
 _UL = r"(?s)<ul>(.*?)</ul>"
 _LI = r"(?s)<li>(.*?)</li>"
@@ -30,7 +30,7 @@ def html_list_extract(spark, sf):
 
 
 def _each(rows, lists):
-    return rows.select("c_custkey", F.posexplode(lists).alias("pos", "affiliation"))
+    return dealt(rows, "c_custkey", "c_name").select("c_custkey", F.posexplode(lists).alias("pos", "affiliation"))
 
 
 @query(f"""

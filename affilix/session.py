@@ -52,3 +52,9 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def dealt(df: DataFrame, *columns: str) -> DataFrame:
+    """``df`` dealt by a hash of ``columns`` over ``spark.sql.shuffle.partitions`` tasks. For costly work on rows that come
+    in few or small files, which Spark would read in one task however many rows they hold."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *columns)

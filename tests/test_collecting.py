@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from affilix import collect, schemas
+from affilix.catalog import QUERIES
 from affilix.operators.extraction import extract, html_addresses, json_affiliations, numeric_id, archive_id, xml_affiliations
 from affilix.operators.incremental import diff_papers, diff_strings, union_all
 from affilix.operators.routing import route, route_counts
@@ -175,3 +176,20 @@ def test_id_space_chooses_between_two_xml_payloads(spark):
     )
     rows = sorted((r.cord_uid, r.affiliate) for r in collect(papers, payloads).collect())
     assert rows == [("a", ["A"]), ("b", ["B"])]
+
+
+def test_few_rows_in_one_file_are_read_by_several_tasks(spark, tmp_path):
+    """A customer table of one small file: the expensive expressions run in as many tasks as shuffles have."""
+    names = [(i, f"Customer#{i:09d}", i % 2, "BUILDING") for i in range(40)]
+    tables = {
+        "customer": (names, "c_custkey LONG, c_name STRING, c_nationkey LONG, c_mktsegment STRING"),
+        "nation": ([(0, "NATION_0", 0), (1, "NATION_1", 0)], "n_nationkey LONG, n_name STRING, n_regionkey LONG"),
+        "region": ([(0, "ASIA")], "r_regionkey LONG, r_name STRING"),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+    out = QUERIES["html_part_extract"](spark, str(tmp_path))
+    used = out.withColumn("p", F.spark_partition_id()).collect()
+    assert len({r.p for r in used}) > 2
+    want = {(i, 0, n) for i, n, _, _ in names} | {(i, 1, f"NATION_{'ab'[k]} <ASIA>") for i, _, k, _ in names}
+    assert {(r.c_custkey, r.pos, r.affiliation) for r in used} == want and len(used) == 80
