@@ -481,6 +481,18 @@ def test_small_probabilities_count(spark, caplog):
     assert left["toxic"]["reached"] > 0 and left["toxic"]["miss"] < -0.01
 
 
+def test_steps_of_the_descent_start_no_jobs(spark):
+    """A job per step filled the driver: plans and compiled classes grow with the steps."""
+    cells = [(q, t, 1000) for q in (2, 40, 95, 99) for t in (0, 5, 97)]
+    table = spark.createDataFrame(cells, "quality int, toxic int, tokens long")
+    spark.sparkContext.setJobGroup("descent", "descent")
+    try:
+        mixing.fit_rates(table, {"good": 0.8, "low": 0.15, "toxic": 0.05})
+        assert 0 < len(spark.sparkContext.statusTracker().getJobIdsForGroup("descent")) <= 8
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_held_out_is_the_remainder_of_the_checksum(spark):
     got = {r["id"]: r["h"] for r in spark.range(200).select("id", held_out(F.col("id"), 3, 1).alias("h")).collect()}
     assert got == {n: zlib.crc32(str(n).encode()) % 3 == 1 for n in range(200)}
