@@ -101,3 +101,24 @@ def test_a_batch_is_encoded_in_short_chunks():
     assert max(len(p) for p in parts) * len(texts[0]) <= 1 << 18
     whole = pd.concat(parts)
     assert whole["doc_id"].tolist() == list(range(40)) and whole["groups_sha256"].nunique() == 1
+
+
+def test_sums_are_taken_per_row_without_a_shuffle_of_links(spark):
+    """Rows of links went over the network with their document twice: for distinct counts and for the sums."""
+    docs = spark.createDataFrame([(1, "one two"), (1, "one two"), (1, "three"), (2, "one")], "doc_id long, text string")
+    plan = token_alignment.align(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(row" in plan and "hashpartitioning(doc_id" not in plan
+
+
+def test_token_bytes_are_compared_with_the_text():
+    import numpy as np
+
+    words = [b"a", b"bc", b"longer than eight", b"zz"]
+    texts = [b"abc", b"longer than eighta", b"longer than eightb", b"longer thAn eighta", b"", b"abcd", b"zz", b"a"]
+    ids = [[0, 1], [2, 0], [2, 0], [2, 0], [], [0, 1], [3], [1, 0]]
+    _, n, fine = token_alignment._checked(
+        ids, np.array([len(w) for w in words]), token_alignment._words(words), b"".join([*texts, bytes(8)]),
+        np.array([len(t) for t in texts]),
+    )
+    assert n.tolist() == [2, 2, 2, 2, 0, 2, 1, 2]
+    assert fine.tolist() == [True, True, False, False, True, False, True, False]
