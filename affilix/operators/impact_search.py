@@ -27,7 +27,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from affilix.functions.text import words
-from affilix.operators.retrieval import SCORED, TOP_K, SearchIndex
+from affilix.operators.retrieval import SCORED, TOP_K, SearchIndex, code_of, numbered, packed
+from affilix.operators.score_grid import best_in_cells
 from affilix.session import materialize
 
 GROWTH = 1.25
@@ -46,15 +47,6 @@ def _best(df: DataFrame, k: int) -> DataFrame:
     return df.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
-def _scores(pairs: DataFrame, tokens: DataFrame, postings: DataFrame) -> DataFrame:
-    """``query_id, inst_id, field, score`` of given (query, row) pairs over the query's tokens."""
-    return (
-        pairs.join(tokens, "query_id")
-        .join(postings.select("field", "token", "inst_id", "impact"), ["token", "inst_id"])
-        .groupBy("query_id", "inst_id", "field").agg(F.sum(F.col("qtf") * F.col("impact")).alias("score"))
-    )
-
-
 def block_max_search(queries: DataFrame, index: SearchIndex, k: int = TOP_K, growth: float = GROWTH) -> DataFrame:
     """Best ``k`` rows of each ``query_id, institute``: ``query_id, inst_id, score, rank``. A query without tokens finds
     nothing; a NULL institute is one without tokens."""
@@ -62,41 +54,49 @@ def block_max_search(queries: DataFrame, index: SearchIndex, k: int = TOP_K, gro
         queries.select("query_id", F.explode(words(F.col("institute"))).alias("token"))
         .groupBy("query_id", "token").agg(F.count("*").alias("qtf"))
     )
-    tokens = materialize(tokens, "query_tokens")
-    postings = materialize(
-        impact_blocks(index, growth).join(tokens.select("token").distinct(), "token", "left_semi"), "asked_postings"
-    )
-    blocks = postings.groupBy("field", "token", "block").agg(F.max("impact").alias("block_top"))
+    tokens = materialize(tokens.withColumn("pair_id", F.lit("")), "query_tokens")
+    asked = numbered(tokens)
+    index = SearchIndex(impact_blocks(index, growth), index.docs)
+    vectors, rows = packed(tokens, index, asked)
+    vectors = vectors.withColumn("bound", F.lit(False))
+    rows = rows.withColumns({"pair_id": F.lit(""), "req": F.lit(0.0)})
+    blocks = index.postings.join(asked, "token").groupBy(
+        "field", "token", code_of(F.col("id"), F.col("field")).alias("code"), "block"
+    ).agg(F.max("impact").alias("block_top"))
+    blocks = materialize(blocks, "blocks")
+    tops = blocks.groupBy("field", "token", "code").agg(F.max("block_top").alias("top"), F.min("block").alias("first"))
     reach = materialize(
-        tokens.join(blocks.groupBy("field", "token").agg(F.max("block_top").alias("top"), F.min("block").alias("first")),
-                    "token")
-        .withColumn("most", F.col("qtf") * F.col("top")),
-        "reach",
+        tokens.drop("pair_id").join(tops, "token").withColumn("most", F.col("qtf") * F.col("top")), "reach"
     )
     per_field = W.partitionBy("query_id", "field")
     reach = reach.withColumn("rest", F.sum("most").over(per_field) - F.col("most"))
 
+    def looking_at(limits: DataFrame) -> DataFrame:
+        lists = limits.groupBy("query_id").agg(F.collect_list(F.struct("code", "upto")).alias("m"))
+        return materialize(vectors.join(lists.select(
+            "query_id", F.col("m.code").alias("marks"), F.col("m.upto").alias("upto")), "query_id"), "limits")
+
     # 1. Seeds: the first block of the token of highest reach, per (query, field).
     leading = reach.withColumn(
         "lead", F.row_number().over(per_field.orderBy(F.desc("most"), "token"))
-    ).filter("lead = 1").select("query_id", "field", "token", F.col("first").alias("block"))
-    seeds = leading.join(postings, ["field", "token", "block"]).select("query_id", "field", "inst_id")
-    seeded = _scores(seeds.select("query_id", "inst_id").distinct(), tokens, postings)
+    ).filter("lead = 1").select("query_id", "code", F.col("first").alias("upto"))
+    seeded = best_in_cells(looking_at(leading), rows, k, marked=True, per_field=True)
     kth = W.partitionBy("query_id", "field").orderBy(F.desc("score"))
     theta = (
         seeded.withColumn("n", F.row_number().over(kth)).filter(F.col("n") == k)
-        .select("query_id", "field", F.col("score").alias("theta"))
+        .select("query_id", F.element_at(F.array(*[F.lit(f) for f in SCORED]), F.col("field") + 1).alias("field"),
+                F.col("score").alias("theta"))
     )
     theta = materialize(theta, "theta")
 
-    # 2. Blocks whose bound reaches theta.
-    bounds = reach.join(theta, ["query_id", "field"], "left").join(blocks, ["field", "token"])
+    # 2. Blocks whose bound reaches theta: the first ones of a token, as bounds fall with the number of the block.
+    bounds = reach.join(theta, ["query_id", "field"], "left").join(
+        blocks.select("code", "block", "block_top"), "code"
+    )
     needed = bounds.filter(
         F.col("qtf") * F.col("block_top") + F.col("rest") >= F.coalesce(F.col("theta"), F.lit(0.0)) - MARGIN
-    ).select("query_id", "field", "token", "block")
+    ).groupBy("query_id", "code").agg(F.max("block").alias("upto"))
 
     # 3. Their rows, scored exactly over every field.
-    found = needed.join(postings, ["field", "token", "block"]).select("query_id", "inst_id").distinct()
-    found = materialize(found, "found")
-    scored = _scores(found, tokens, postings).groupBy("query_id", "inst_id").agg(F.max("score").alias("score"))
+    scored = best_in_cells(looking_at(needed), rows, k, marked=True)
     return _best(scored, k).select("query_id", "inst_id", "score", "rank")
