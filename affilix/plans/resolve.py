@@ -79,7 +79,8 @@ def resolve(
     themselves, so a cached run may answer differently from a full one; by default everything is resolved. For the same
     reason string results are kept for later runs only if ``save_cache`` names a folder.
     """
-    rows = affiliation_rows(papers)
+    # Read at both ends of the job, and what papers come from may be as large as they are.
+    rows = materialize(affiliation_rows(papers), "rows")
     diff = diff_strings(distinct_affiliations(rows), cache, skip_if_prior_larger)
     todo = materialize(diff.todo, "todo")
     new = resolve_strings(

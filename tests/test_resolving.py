@@ -165,3 +165,11 @@ def test_two_runs_answer_as_one(spark, inputs, tmp_path):
     strings = spark.createDataFrame([(t,) for t in texts], "affiliate STRING")
     assert strings.select(class_of(F.col("affiliate")).alias("c")).distinct().count() == 1
     assert neighbours(strings).classes.first().copies == 2
+
+
+def test_papers_are_read_once(spark, inputs, tmp_path):
+    """The rows are needed at both ends of the job; what the papers come from is not computed again for the result."""
+    papers(spark, ("1", ["Department of Physics, Alpha University, Paris, France"]), ("2", [])).write.parquet(str(tmp_path / "papers"))
+    out = resolve(spark.read.parquet(str(tmp_path / "papers")), *inputs)
+    assert not any("/papers/" in f for f in out.inputFiles())
+    assert [r.cord_uid for r in out.collect()] == ["1"]
