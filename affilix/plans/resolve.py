@@ -122,13 +122,13 @@ def resolve_in_runs(
     a new string can change the answer of an old one, as it would in a full run. A plain cache of answers cannot.
     """
     spark = papers.sparkSession
-    rows = affiliation_rows(papers)
+    # Only new rows are written; those of the runs before stay where they are and are read from there.
+    rows = materialize(affiliation_rows(papers), "rows")
     old_described = old_hits = None
     if state is not None:
         rows = rows.unionByName(spark.read.parquet(f"{state}/rows"))
         old_described = spark.read.parquet(f"{state}/described")
         old_hits = spark.read.parquet(f"{state}/hits")
-    rows = materialize(rows, "rows")
     strings = materialize(distinct_affiliations(rows), "strings")
     places = build_gazetteer(institutes) if gazetteer is None else gazetteer
     new_strings = strings if old_described is None else strings.join(old_described, "affiliate", "left_anti")

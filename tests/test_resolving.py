@@ -173,3 +173,13 @@ def test_papers_are_read_once(spark, inputs, tmp_path):
     out = resolve(spark.read.parquet(str(tmp_path / "papers")), *inputs)
     assert not any("/papers/" in f for f in out.inputFiles())
     assert [r.cord_uid for r in out.collect()] == ["1"]
+
+
+def test_rows_of_earlier_runs_are_not_written_again(spark, inputs, tmp_path):
+    from affilix.plans.resolve import resolve_in_runs
+
+    state = str(tmp_path / "state")
+    resolve_in_runs(papers(spark, ("1", ["Alpha University, Paris, France"])), *inputs, save_state=state)
+    out = resolve_in_runs(papers(spark, ("2", ["Alpha College, Boston, United States"])), *inputs, state=state)
+    assert any(f"{state}/rows/" in f for f in out.inputFiles())
+    assert {r.cord_uid for r in out.collect()} == {"1", "2"}
