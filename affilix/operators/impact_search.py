@@ -59,7 +59,8 @@ def block_max_search(queries: DataFrame, index: SearchIndex, k: int = TOP_K, gro
     index = SearchIndex(impact_blocks(index, growth), index.docs)
     vectors, rows = packed(tokens, index, asked)
     vectors = vectors.withColumn("bound", F.lit(False))
-    rows = rows.withColumns({"pair_id": F.lit(""), "req": F.lit(0.0)})
+    # Always empty, but no constant: of a constant key the optimizer makes a join without keys.
+    rows = rows.withColumns({"pair_id": F.substring("inst_id", 1, 0), "req": F.lit(0.0)})
     blocks = index.postings.join(asked, "token").groupBy(
         "field", "token", code_of(F.col("id"), F.col("field")).alias("code"), "block"
     ).agg(F.max("impact").alias("block_top"))
